@@ -1,41 +1,66 @@
-"""Rule evaluation as column expressions (no UDFs, no row loops)."""
+"""Rule evaluation as SQL expressions over window metrics (no UDFs, no row loops).
 
-from __future__ import annotations
+Comparisons are strict ``>``. The OR over rules is SQL three-valued: a NULL metric (all
+amounts NULL) yields a NULL indicator, ``NULL OR true`` is true and ``NULL OR false`` is
+NULL, so such a window is dropped by ``filter(flagged)``; in flag lists a NULL
+indicator simply does not fire.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnscope.config import SEVERITY_HIGH, SEVERITY_MEDIUM, RuleProfile
+from txnscope.config import SEVERITY_HIGH, SEVERITY_MEDIUM, Rule, RuleProfile
 
 
-def apply_rules(df: DataFrame, profile: RuleProfile) -> DataFrame:
-    """Add one boolean indicator per rule and the profile's OR-ed flag column.
+def _literal(value: float) -> str:
+    if isinstance(value, int):
+        return str(value)
+    return f"{float(value)!r}D"  # double literal
+
+
+def indicator_sql(rule: Rule) -> str:
+    return f"({rule.metric} > {_literal(rule.threshold)})"
+
+
+def flagged_sql(profile: RuleProfile) -> str:
+    """OR of every rule of the profile, written over the metric columns."""
+    return "(" + " OR ".join(indicator_sql(r) for r in profile.rules) + ")"
+
+
+def rule_columns_sql(profile: RuleProfile) -> list[str]:
+    """``indicator AS is_x`` for each rule, then ``... AS <flagged>``."""
+    out = [f"{indicator_sql(r)} AS {r.indicator}" for r in profile.rules]
+    out.append(f"{flagged_sql(profile)} AS {profile.flagged}")
+    return out
 
-    Comparisons are strict ``>``. The OR is SQL three-valued: a NULL metric (all amounts
-    NULL) yields a NULL indicator, ``NULL OR true`` is true and ``NULL OR false`` is NULL,
-    so such a window is dropped by a later ``filter(flagged)``.
-    """
-    indicators = [F.col(r.metric) > F.lit(r.threshold) for r in profile.rules]
-    out = df.withColumns({r.indicator: ind for r, ind in zip(profile.rules, indicators)})
-    return out.withColumn(
-        profile.flagged, reduce(lambda a, b: a | b, [F.col(r.indicator) for r in profile.rules])
-    )
+
+def flag_list_sql(profile: RuleProfile) -> str:
+    """Ordered ``ARRAY<STRING>`` of fired rule labels, over the indicator columns."""
+    items = ", ".join(f"CASE WHEN {r.indicator} THEN '{r.flag}' END" for r in profile.rules)
+    return f"array_compact(array({items}))"
+
+
+def severity_sql(flags: str) -> str:
+    """HIGH when more than one rule fired, else MEDIUM."""
+    return f"CASE WHEN size({flags}) > 1 THEN '{SEVERITY_HIGH}' ELSE '{SEVERITY_MEDIUM}' END"
+
+
+# Column / DataFrame forms ------------------------------------------------------------
+def apply_rules(df: DataFrame, profile: RuleProfile) -> DataFrame:
+    """Add one boolean indicator per rule and the profile's OR-ed flag column."""
+    return df.selectExpr("*", *rule_columns_sql(profile))
 
 
 def flag_list(profile: RuleProfile) -> Column:
-    """Ordered ``ARRAY<STRING>`` of fired rule labels; NULL indicators do not fire."""
-    return F.array_compact(
-        F.array(*[F.when(F.col(r.indicator), F.lit(r.flag)) for r in profile.rules])
-    )
+    return F.expr(flag_list_sql(profile))
 
 
 def flagged_or_false(profile: RuleProfile) -> Column:
     """The flag column with NULL read as not flagged (for rows written regardless)."""
-    return F.coalesce(F.col(profile.flagged), F.lit(False))
+    return F.expr(f"coalesce({profile.flagged}, false)")
 
 
-def severity(flags: Column) -> Column:
-    """HIGH when more than one rule fired, else MEDIUM."""
-    return F.when(F.size(flags) > 1, F.lit(SEVERITY_HIGH)).otherwise(F.lit(SEVERITY_MEDIUM))
+def severity(flags: str) -> Column:
+    return F.expr(severity_sql(flags))

@@ -1,4 +1,9 @@
-"""Scalar helpers: ISO text, money, record keys, expiry stamps, lenient coercion."""
+"""Scalar helpers: ISO text, money, record keys, expiry stamps, lenient coercion.
+
+Each helper exists in two forms: ``*_sql`` returns Spark SQL expression text over column
+names or SQL expressions (used with ``selectExpr``/``F.expr``, so a whole projection is
+handed to Catalyst in one call), and the plain name returns a ``Column``.
+"""
 
 from __future__ import annotations
 
@@ -8,53 +13,86 @@ from pyspark.sql import types as T
 
 from txnscope.config import NULL_USER_KEY
 
-_DAY_SECONDS = 86_400
+DAY_SECONDS = 86_400
 MONEY = T.DecimalType(18, 2)
+MONEY_SQL = "DECIMAL(18,2)"
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def _iso(c: Column, suffix: str) -> Column:
+def _iso_sql(c: str, suffix: str) -> str:
     # Python's isoformat(): microseconds appear only when non-zero.
-    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss" + suffix)
-    fraction = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + suffix)
-    return F.when(F.unix_micros(c) % 1_000_000 == 0, whole).otherwise(fraction)
+    return (
+        f'CASE WHEN unix_micros({c}) % 1000000 = 0 THEN date_format({c}, "{_SECONDS}{suffix}") '
+        f'ELSE date_format({c}, "{_MICROS}{suffix}") END'
+    )
 
 
-def iso_local(c: Column | str) -> Column:
+def iso_local_sql(c: str) -> str:
     """Timestamp as offset-free ISO text (``2024-01-01T00:00:00``), session time zone."""
-    return _iso(_col(c), "")
+    return _iso_sql(c, "")
 
 
-def iso_utc(c: Column | str) -> Column:
+def iso_utc_sql(c: str) -> str:
     """Timestamp as ISO text with offset (``2024-01-01T00:00:00+00:00``)."""
-    return _iso(_col(c), "xxx")
+    return _iso_sql(c, "xxx")
 
 
-def money(c: Column | str) -> Column:
+def money_sql(c: str) -> str:
     """Amount as DECIMAL(18,2), rounded half-up (2.675 -> 2.68)."""
-    return _col(c).cast(MONEY)
+    return f"CAST({c} AS {MONEY_SQL})"
 
 
-def window_key(user: Column | str, window_start: Column | str) -> Column:
-    """Deterministic record key ``user#window_start``; a missing user keys as ``None#...``."""
-    return F.concat_ws(
-        "#", F.coalesce(_col(user), F.lit(NULL_USER_KEY)), iso_local(_col(window_start))
-    )
+def user_key_sql(user: str) -> str:
+    """User part of record keys; a missing user keys as ``None``."""
+    return f"coalesce({user}, '{NULL_USER_KEY}')"
+
 
+def window_key_sql(user: str, window_start: str) -> str:
+    """Deterministic record key ``user#window_start``."""
+    return f"concat_ws('#', {user_key_sql(user)}, {iso_local_sql(window_start)})"
 
-def epoch_plus_days(as_of: Column | str, days: int) -> Column:
+
+def epoch_plus_days_sql(as_of: str, days: int) -> str:
     """Expiry stamp: epoch seconds of ``as_of`` plus ``days`` days (BIGINT)."""
-    return F.unix_timestamp(_col(as_of)) + F.lit(days * _DAY_SECONDS)
+    return f"unix_timestamp({as_of}) + {days * DAY_SECONDS}"
 
 
-def lenient_number(c: Column | str, data_type: str = "double") -> Column:
+def lenient_number_sql(c: str, data_type: str = "double") -> str:
     """Coerce to a number; anything unparsable becomes NULL instead of failing."""
-    return _col(c).try_cast(data_type)
+    return f"try_cast({c} AS {data_type})"
+
+
+def lenient_timestamp_sql(c: str) -> str:
+    """ISO-8601 text (any offset) or a timestamp to TIMESTAMP; bad text -> NULL."""
+    return f"try_to_timestamp(CAST({c} AS STRING))"
+
+
+# Column forms ------------------------------------------------------------------------
+def iso_local(c: str) -> Column:
+    return F.expr(iso_local_sql(c))
+
+
+def iso_utc(c: str) -> Column:
+    return F.expr(iso_utc_sql(c))
+
+
+def money(c: str) -> Column:
+    return F.expr(money_sql(c))
+
+
+def window_key(user: str, window_start: str) -> Column:
+    return F.expr(window_key_sql(user, window_start))
+
+
+def epoch_plus_days(as_of: str, days: int) -> Column:
+    return F.expr(epoch_plus_days_sql(as_of, days))
+
+
+def lenient_number(c: str, data_type: str = "double") -> Column:
+    return F.expr(lenient_number_sql(c, data_type))
 
 
-def lenient_timestamp(c: Column | str) -> Column:
-    """Coerce ISO-8601 text (any offset) or a timestamp to TIMESTAMP; bad text -> NULL."""
-    return F.try_to_timestamp(_col(c).cast("string"))
+def lenient_timestamp(c: str) -> Column:
+    return F.expr(lenient_timestamp_sql(c))

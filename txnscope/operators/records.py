@@ -1,72 +1,68 @@
-"""Hot-table records built from window aggregates (all column expressions, no row loop).
+"""Hot-table records built from window aggregates (one SQL projection each, no row loop).
 
-``as_of`` is the detection/processing time stamped on each record. Streaming sinks use
-``current_timestamp()`` (fixed per micro-batch); reproducible runs pass a column such as
-``window_end`` or a literal.
+``as_of`` is the detection/processing time stamped on each record, given as a SQL
+expression. Streaming sinks use ``current_timestamp()`` (fixed per micro-batch);
+reproducible runs pass a column name such as ``window_end`` or a timestamp literal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from txnscope.config import ALERT_STATUS_NEW, ANOMALY, FRAUD, NULL_USER_KEY, RuleProfile
-from txnscope.functions.rules import flag_list, flagged_or_false, severity
-from txnscope.functions.values import epoch_plus_days, iso_local, iso_utc, money, window_key
-from txnscope.operators.windows import flagged
+from txnscope.config import ALERT_STATUS_NEW, ANOMALY, FRAUD, RuleProfile
+from txnscope.functions.rules import flag_list_sql, severity_sql
+from txnscope.functions.values import (
+    DAY_SECONDS,
+    epoch_plus_days_sql,
+    iso_local_sql,
+    iso_utc_sql,
+    money_sql,
+    user_key_sql,
+    window_key_sql,
+)
 
-_DAY_SECONDS = 86_400
+NOW = "current_timestamp()"
 
 
-def _as_of(as_of: Column | str | None) -> Column:
-    if as_of is None:
-        return F.current_timestamp()
-    return F.col(as_of) if isinstance(as_of, str) else as_of
-
-
-def anomaly_records(
-    windows: DataFrame, profile: RuleProfile = ANOMALY, as_of: Column | str | None = None
-) -> DataFrame:
+def anomaly_records(windows: DataFrame, profile: RuleProfile = ANOMALY, as_of: str | None = None) -> DataFrame:
     """Flagged windows -> keyed anomaly records (key ``user#window_start``).
 
     A NULL rule indicator (all amounts NULL) does not raise its flag; the record is still
     written when another rule fired, with a NULL ``max_amount``.
     """
-    at = _as_of(as_of)
-    return flagged(windows, profile).select(
-        window_key("user_id", "window_start").alias("transaction_id"),
-        F.col("user_id"),
-        iso_local("window_start").alias("window_start"),
-        iso_local("window_end").alias("window_end"),
-        F.col("transaction_count"),
-        money("max_amount").alias("max_amount"),
-        flag_list(profile).alias(profile.flags_column),
-        F.lit(True).alias(profile.flagged),
-        iso_utc(at).alias("detected_at"),
-        epoch_plus_days(at, profile.record_ttl_days).alias("ttl"),
+    at = as_of or NOW
+    return windows.where(profile.flagged).selectExpr(
+        f"{window_key_sql('user_id', 'window_start')} AS transaction_id",
+        "user_id",
+        f"{iso_local_sql('window_start')} AS window_start",
+        f"{iso_local_sql('window_end')} AS window_end",
+        "transaction_count",
+        f"{money_sql('max_amount')} AS max_amount",
+        f"{flag_list_sql(profile)} AS {profile.flags_column}",
+        f"true AS {profile.flagged}",
+        f"{iso_utc_sql(at)} AS detected_at",
+        f"{epoch_plus_days_sql(at, profile.record_ttl_days)} AS ttl",
     )
 
 
-def fraud_aggregates(
-    windows: DataFrame, profile: RuleProfile = FRAUD, as_of: Column | str | None = None
-) -> DataFrame:
+def fraud_aggregates(windows: DataFrame, profile: RuleProfile = FRAUD, as_of: str | None = None) -> DataFrame:
     """Every window -> aggregate record keyed by (pk=user, sk=window_start)."""
-    at = _as_of(as_of)
-    return windows.select(
-        F.coalesce(F.col("user_id"), F.lit(NULL_USER_KEY)).alias("pk"),
-        iso_local("window_start").alias("sk"),
-        F.col("user_id"),
-        iso_local("window_start").alias("window_start"),
-        iso_local("window_end").alias("window_end"),
-        F.col("transaction_count"),
-        money("total_amount").alias("total_amount"),
-        money("max_amount").alias("max_amount"),
-        money("min_amount").alias("min_amount"),
-        F.col("distinct_merchant_categories").alias("distinct_categories"),
-        flagged_or_false(profile).alias(profile.flagged),
-        flag_list(profile).alias(profile.flags_column),
-        iso_utc(at).alias("processed_at"),
-        epoch_plus_days(at, profile.record_ttl_days).alias("ttl"),
+    at = as_of or NOW
+    return windows.selectExpr(
+        f"{user_key_sql('user_id')} AS pk",
+        f"{iso_local_sql('window_start')} AS sk",
+        "user_id",
+        f"{iso_local_sql('window_start')} AS window_start",
+        f"{iso_local_sql('window_end')} AS window_end",
+        "transaction_count",
+        f"{money_sql('total_amount')} AS total_amount",
+        f"{money_sql('max_amount')} AS max_amount",
+        f"{money_sql('min_amount')} AS min_amount",
+        "distinct_merchant_categories AS distinct_categories",
+        f"coalesce({profile.flagged}, false) AS {profile.flagged}",
+        f"{flag_list_sql(profile)} AS {profile.flags_column}",
+        f"{iso_utc_sql(at)} AS processed_at",
+        f"{epoch_plus_days_sql(at, profile.record_ttl_days)} AS ttl",
     )
 
 
@@ -76,19 +72,18 @@ def fraud_alerts(aggregates: DataFrame, profile: RuleProfile = FRAUD) -> DataFra
     Deriving alerts from the newest aggregate row means an alert disappears when a later
     update (e.g. a refund) un-flags its window, instead of lingering as a stale row.
     """
-    flags = F.col(profile.flags_column)
-    extra_days = profile.alert_ttl_days - profile.record_ttl_days
-    return aggregates.filter(F.col(profile.flagged)).select(
-        F.concat_ws("#", F.col("pk"), F.col("sk")).alias("alert_id"),
-        F.col("user_id"),
-        F.col("window_start"),
-        F.col("window_end"),
-        F.col("transaction_count"),
-        F.col("total_amount"),
-        F.col("max_amount"),
-        flags,
-        severity(flags).alias("severity"),
-        F.lit(ALERT_STATUS_NEW).alias("status"),
-        F.col("processed_at").alias("created_at"),
-        (F.col("ttl") + F.lit(extra_days * _DAY_SECONDS)).alias("ttl"),
+    extra_seconds = (profile.alert_ttl_days - profile.record_ttl_days) * DAY_SECONDS
+    return aggregates.where(profile.flagged).selectExpr(
+        "concat_ws('#', pk, sk) AS alert_id",
+        "user_id",
+        "window_start",
+        "window_end",
+        "transaction_count",
+        "total_amount",
+        "max_amount",
+        profile.flags_column,
+        f"{severity_sql(profile.flags_column)} AS severity",
+        f"'{ALERT_STATUS_NEW}' AS status",
+        "processed_at AS created_at",
+        f"ttl + {extra_seconds} AS ttl",
     )

@@ -9,7 +9,7 @@ task per window before the shuffle, so skew in users does not reach the exchange
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnscope.config import (
@@ -20,25 +20,19 @@ from txnscope.config import (
     TOTAL_AMOUNT,
     RuleProfile,
 )
-from txnscope.functions.rules import apply_rules
+from txnscope.functions.rules import rule_columns_sql
 
 EVENT_TIME = "event_timestamp"
 
-
-def metric(name: str) -> Column:
-    """The aggregate behind a metric name (built lazily: Columns need a live session)."""
-    if name == COUNT:
-        return F.count(F.lit(1))
-    if name == MAX_AMOUNT:
-        return F.max("amount")
-    if name == TOTAL_AMOUNT:
-        return F.sum("amount")
-    if name == MIN_AMOUNT:
-        return F.min("amount")
-    if name == DISTINCT_CATEGORIES:
-        # HyperLogLog++; exact for the small per-window category counts it is used for.
-        return F.approx_count_distinct("merchant_category")
-    raise KeyError(f"unknown metric {name!r}")
+# Metric name -> aggregate expression.
+METRIC_SQL = {
+    COUNT: "count(1)",
+    MAX_AMOUNT: "max(amount)",
+    TOTAL_AMOUNT: "sum(amount)",
+    MIN_AMOUNT: "min(amount)",
+    # HyperLogLog++; exact for the small per-window category counts it is used for.
+    DISTINCT_CATEGORIES: "approx_count_distinct(merchant_category)",
+}
 
 
 def with_watermark(df: DataFrame, delay: str | None) -> DataFrame:
@@ -48,6 +42,28 @@ def with_watermark(df: DataFrame, delay: str | None) -> DataFrame:
     return df
 
 
+def _grouped(
+    df: DataFrame,
+    profile: RuleProfile,
+    window: str | None,
+    slide: str | None,
+    watermark: str | None | bool,
+) -> DataFrame:
+    duration = window or profile.window
+    delay = profile.watermark if watermark is True else (watermark or None)
+    if DISTINCT_CATEGORIES in profile.metrics and "merchant_category" not in df.columns:
+        # Payloads without a category: the distinct count is 0, as over all-NULL input.
+        df = df.withColumn("merchant_category", F.lit(None).cast("string"))
+    src = with_watermark(df, delay)
+    bucket = F.window(EVENT_TIME, duration, slide) if slide else F.window(EVENT_TIME, duration)
+    return src.groupBy(bucket.alias("window"), F.col("user_id")).agg(
+        *[F.expr(METRIC_SQL[m]).alias(m) for m in profile.metrics]
+    )
+
+
+_FLAT = ("window.start AS window_start", "window.end AS window_end", "user_id")
+
+
 def window_metrics(
     df: DataFrame,
     profile: RuleProfile,
@@ -60,22 +76,7 @@ def window_metrics(
     ``watermark=True`` uses the profile's delay, a string overrides it, ``False``/``None``
     disables it (streaming state would then grow without bound).
     """
-    duration = window or profile.window
-    delay = profile.watermark if watermark is True else (watermark or None)
-    if DISTINCT_CATEGORIES in profile.metrics and "merchant_category" not in df.columns:
-        # Payloads without a category: the distinct count is 0, as over all-NULL input.
-        df = df.withColumn("merchant_category", F.lit(None).cast("string"))
-    src = with_watermark(df, delay)
-    bucket = F.window(F.col(EVENT_TIME), duration, slide) if slide else F.window(F.col(EVENT_TIME), duration)
-    agg = src.groupBy(bucket.alias("window"), F.col("user_id")).agg(
-        *[metric(m).alias(m) for m in profile.metrics]
-    )
-    return agg.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "user_id",
-        *profile.metrics,
-    )
+    return _grouped(df, profile, window, slide, watermark).selectExpr(*_FLAT, *profile.metrics)
 
 
 def aggregate(
@@ -85,10 +86,11 @@ def aggregate(
     slide: str | None = None,
     watermark: str | None | bool = True,
 ) -> DataFrame:
-    """Window metrics plus rule indicators and the profile's flag column."""
-    return apply_rules(window_metrics(df, profile, window, slide, watermark), profile)
+    """Window metrics plus one indicator per rule and the profile's flag column."""
+    grouped = _grouped(df, profile, window, slide, watermark)
+    return grouped.selectExpr(*_FLAT, *profile.metrics, *rule_columns_sql(profile))
 
 
 def flagged(df: DataFrame, profile: RuleProfile) -> DataFrame:
     """Keep windows where the profile fired (NULL counts as not fired)."""
-    return df.filter(F.col(profile.flagged))
+    return df.where(profile.flagged)

@@ -15,13 +15,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnscope.config import ANOMALY, FRAUD
+from txnscope.functions.rules import flag_list_sql
 from txnscope.operators import analytics, serving
 from txnscope.operators.records import anomaly_records, fraud_aggregates, fraud_alerts
 from txnscope.operators.windows import aggregate
-from txnscope.schemas import ANOMALY_RECORD, PAYLOAD
+from txnscope.schemas import ANOMALY_RECORD, PAYLOAD, PAYLOAD_FIELDS
 from txnscope.session import pin_utc, scratch_path
 from txnscope.sinks.keyed import path_exists
 from txnscope.sinks.lake import read_cold, write_cold
@@ -53,17 +53,15 @@ LIVE_AS_OF = "2024-02-15 00:00:00"
 SLIDING_WINDOW, SLIDING_SLIDE = "5 minutes", "1 minute"
 
 
-def for_compare(df: DataFrame) -> DataFrame:
+def for_compare(df: DataFrame, ntz: tuple[str, ...] = (), joined: tuple[str, ...] = ()) -> DataFrame:
     """Timestamps -> TIMESTAMP_NTZ (UTC wall time), string arrays -> comma-joined text."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(c, ",")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    changes = {c: F.col(c).cast("timestamp_ntz") for c in ntz}
+    changes.update({c: F.array_join(c, ",") for c in joined})
+    return df.withColumns(changes)
+
+
+WINDOW_TS = ("window_start", "window_end")
+TXN_TS = ("arrival_time", "event_timestamp")
 
 
 def _txns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +69,8 @@ def _txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_transactions(spark, sf_dir)
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly_records(aggregate(_txns(spark, sf_dir), ANOMALY, DAY), ANOMALY, as_of="window_end")
+def _records(spark: SparkSession, sf_dir: str, window: str = DAY) -> DataFrame:
+    return anomaly_records(aggregate(_txns(spark, sf_dir), ANOMALY, window), ANOMALY, as_of="window_end")
 
 
 def _fraud_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,50 +94,54 @@ def cold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- windows & records
 def q_anomaly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(aggregate(_txns(spark, sf_dir), ANOMALY, DAY))
+    return for_compare(aggregate(_txns(spark, sf_dir), ANOMALY, DAY), WINDOW_TS)
 
 
 def q_anomaly_windows_1min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(aggregate(_txns(spark, sf_dir), ANOMALY, MINUTE))
+    return for_compare(aggregate(_txns(spark, sf_dir), ANOMALY, MINUTE), WINDOW_TS)
 
 
 def q_anomaly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(_records(spark, sf_dir))
+    return for_compare(_records(spark, sf_dir), joined=("anomaly_flags",))
+
+
+def q_anomaly_records_1min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return for_compare(_records(spark, sf_dir, MINUTE), joined=("anomaly_flags",))
 
 
 def q_fraud_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = aggregate(_txns(spark, sf_dir), FRAUD, DAY)
-    return for_compare(w.withColumn("total_amount", F.round("total_amount", 2)))
+    return for_compare(w.withColumn("total_amount", F.round("total_amount", 2)), WINDOW_TS)
 
 
 def q_fraud_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(_fraud_aggregates(spark, sf_dir))
+    return for_compare(_fraud_aggregates(spark, sf_dir), joined=("fraud_flags",))
 
 
 def q_fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(fraud_alerts(_fraud_aggregates(spark, sf_dir)))
+    return for_compare(fraud_alerts(_fraud_aggregates(spark, sf_dir)), joined=("fraud_flags",))
 
 
 def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = aggregate(_txns(spark, sf_dir), ANOMALY, SLIDING_WINDOW, slide=SLIDING_SLIDE)
     return for_compare(
-        w.select(
+        w.selectExpr(
             "window_start",
             "window_end",
             "user_id",
             "transaction_count",
             "max_amount",
-            F.array_compact(
-                F.array(*[F.when(F.col(r.indicator), F.lit(r.flag)) for r in ANOMALY.rules])
-            ).alias("anomaly_flags"),
+            f"{flag_list_sql(ANOMALY)} AS anomaly_flags",
             "is_anomaly",
-        )
+        ),
+        WINDOW_TS,
+        ("anomaly_flags",),
     )
 
 
 # ------------------------------------------------------------------------- cold table
 def q_cold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(cold_table(spark, sf_dir))
+    return for_compare(cold_table(spark, sf_dir), TXN_TS)
 
 
 def q_cold_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +150,7 @@ def q_cold_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_high_value_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     cold = cold_table(spark, sf_dir)
-    return for_compare(analytics.high_value_txns(cold, year=REPORT_YEAR, month=REPORT_MONTH))
+    return for_compare(analytics.high_value_txns(cold, year=REPORT_YEAR, month=REPORT_MONTH), ("event_timestamp",))
 
 
 def q_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +159,7 @@ def q_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_hourly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     cold = cold_table(spark, sf_dir)
-    return for_compare(analytics.hourly_volume(cold, year=REPORT_YEAR, month=REPORT_MONTH))
+    return for_compare(analytics.hourly_volume(cold, year=REPORT_YEAR, month=REPORT_MONTH), ("hour_bucket",))
 
 
 def q_top_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,11 +172,13 @@ def q_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------- serving
 def q_serving_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(serving.serving_feed(_records(spark, sf_dir)))
+    return for_compare(
+        serving.serving_feed(_records(spark, sf_dir)), ("detected_at", *WINDOW_TS), ("anomaly_flags",)
+    )
 
 
 def q_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(serving.kpi_summary(_records(spark, sf_dir)))
+    return for_compare(serving.kpi_summary(_records(spark, sf_dir)), ("latest_detected_at",))
 
 
 def q_flag_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,27 +196,24 @@ def q_amount_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_live_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = anomaly_table(scratch_path(spark, "anomalies"))
     table.write_batch(_records(spark, sf_dir), 0)
-    return for_compare(table.live(spark, LIVE_AS_OF))
+    return for_compare(table.live(spark, LIVE_AS_OF), joined=("anomaly_flags",))
 
 
 # ----------------------------------------------------------------------------- ingest
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded events as a stream envelope; arrival time is the event time."""
     enc = encode_payload(_txns(spark, sf_dir), keep=("arrival_time",))
-    return enc.select(F.col("value").cast("binary").alias("data"), "arrival_time")
+    return enc.selectExpr("CAST(value AS BINARY) AS data", "arrival_time")
 
 
 def q_encode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = encode_payload(_txns(spark, sf_dir))
-    parsed = F.from_json(F.col("value"), PAYLOAD)
-    return enc.select(
-        "key",
-        *[parsed.getField(f).alias(f) for f in ("transaction_id", "user_id", "amount", "merchant", "timestamp")],
-    )
+    parsed = enc.selectExpr("key", f"from_json(value, '{PAYLOAD.simpleString()}') AS p")
+    return parsed.selectExpr("key", *[f"p.{f} AS {f}" for f in PAYLOAD_FIELDS])
 
 
 def q_decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(decode_payload(_envelope(spark, sf_dir).select("data", "arrival_time")))
+    return for_compare(decode_payload(_envelope(spark, sf_dir)), TXN_TS)
 
 
 # Malformed and edge-case payloads mixed into the encoded events for the quarantine check.
@@ -240,11 +241,11 @@ def _mixed_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_valid_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(valid_payloads(classify_payloads(_mixed_envelope(spark, sf_dir))))
+    return for_compare(valid_payloads(classify_payloads(_mixed_envelope(spark, sf_dir))), TXN_TS)
 
 
 def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return for_compare(quarantined_payloads(classify_payloads(_mixed_envelope(spark, sf_dir))))
+    return for_compare(quarantined_payloads(classify_payloads(_mixed_envelope(spark, sf_dir))), ("arrival_time",))
 
 
 def q_synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +259,7 @@ def q_stream_cold_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns = events_as_transactions(read_events_stream(spark, sf_dir))
     q = start_cold(txns, f"{root}/table", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
-    return for_compare(read_cold(spark, f"{root}/table"))
+    return for_compare(read_cold(spark, f"{root}/table"), TXN_TS)
 
 
 def q_stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +268,7 @@ def q_stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns = events_as_transactions(read_events_stream(spark, sf_dir))
     q = start_hot(txns, table, ANOMALY, window=DAY, as_of="window_end", available_now=True)
     q.awaitTermination()
-    return for_compare(table.latest(spark))
+    return for_compare(table.latest(spark), joined=("anomaly_flags",))
 
 
 def q_stream_anomalies_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,13 +279,14 @@ def q_stream_anomalies_final(spark: SparkSession, sf_dir: str) -> DataFrame:
         txns, f"{root}/table", f"{root}/checkpoint", ANOMALY, window=DAY, as_of="window_end", available_now=True
     )
     q.awaitTermination()
-    return for_compare(spark.read.schema(ANOMALY_RECORD).parquet(f"{root}/table"))
+    return for_compare(spark.read.schema(ANOMALY_RECORD).parquet(f"{root}/table"), joined=("anomaly_flags",))
 
 
 QUERIES: dict[str, Query] = {
     "anomaly_windows": q_anomaly_windows,
     "anomaly_windows_1min": q_anomaly_windows_1min,
     "anomaly_records": q_anomaly_records,
+    "anomaly_records_1min": q_anomaly_records_1min,
     "fraud_windows": q_fraud_windows,
     "fraud_aggregates": q_fraud_aggregates,
     "fraud_alerts": q_fraud_alerts,

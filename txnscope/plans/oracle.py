@@ -78,6 +78,7 @@ def _money(c: str) -> str:
 
 
 WIN_A_DAY = _windows("win", "1 day", A_METRICS)
+WIN_A_MIN = _windows("win", "1 minute", A_METRICS)
 WIN_B_DAY = _windows("win", "1 day", B_METRICS)
 
 RECORDS = f"""rec AS (
@@ -216,6 +217,7 @@ ORACLE: dict[str, str] = {
     "anomaly_windows_1min": _with(TXN, _windows("win", "1 minute", A_METRICS))
     + f"SELECT window_start, window_end, user_id, transaction_count, max_amount, {A_FLAGS} FROM win",
     "anomaly_records": _with(TXN, WIN_A_DAY, RECORDS) + f"SELECT {RECORD_COLUMNS} FROM rec",
+    "anomaly_records_1min": _with(TXN, WIN_A_MIN, RECORDS) + f"SELECT {RECORD_COLUMNS} FROM rec",
     "fraud_windows": _with(TXN, WIN_B_DAY)
     + "SELECT window_start, window_end, user_id, transaction_count, round(total_amount, 2) AS total_amount, "
     "max_amount, min_amount, distinct_merchant_categories, "

@@ -70,6 +70,6 @@ def synth_transactions(
         F.format_string("user_%03d", user_no.cast("int")).alias("user_id"),
         F.round(F.when(is_anomaly, spike).otherwise(lognormal), 2).alias("amount"),
         F.element_at(F.array(*[F.lit(m) for m in MERCHANTS]), merchant_no).alias("merchant"),
-        iso_utc(F.col(event_time).cast("timestamp")).alias("timestamp"),
+        iso_utc(f"CAST({event_time} AS TIMESTAMP)").alias("timestamp"),
         is_anomaly.alias("is_anomaly"),
     )
