@@ -34,12 +34,13 @@ STATUS_VALID = "valid"
 STATUS_REJECTED = "rejected"
 
 
-def to_envelope(df: DataFrame, data: str = "value", arrival_time: str = "timestamp") -> DataFrame:
-    """Adapt a source frame (Kafka: ``value``/``timestamp``) to the envelope contract."""
-    return df.select(
-        F.col(data).cast("binary").alias("data"),
-        F.col(arrival_time).cast("timestamp").alias("arrival_time"),
-    )
+def to_envelope(df: DataFrame, data: str = "value", arrival_time: str | None = "timestamp") -> DataFrame:
+    """Adapt a source frame (Kafka: ``value``/``timestamp``) to the envelope contract.
+
+    Sources without an arrival time (plain text files) get the batch's processing time.
+    """
+    arrival = F.col(arrival_time).cast("timestamp") if arrival_time else F.current_timestamp()
+    return df.select(F.col(data).cast("binary").alias("data"), arrival.alias("arrival_time"))
 
 
 _PAYLOAD_DDL = PAYLOAD.simpleString()

@@ -33,12 +33,18 @@ def run_both(
     wait: bool = True,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start cold then hot path over ``source(spark)`` (a streaming frame of parsed
-    transactions). With ``wait`` the call blocks until either query terminates and
-    re-raises its error."""
+    transactions). With ``wait`` the call blocks until either query terminates (both,
+    for ``available_now``) and re-raises its error."""
+    # Forget queries that ended earlier in this session, or the wait below returns at once.
+    spark.streams.resetTerminated()
     cold = start_cold(source(spark), roots.cold, roots.cold_checkpoint, available_now=available_now, query_name="cold_path")
     hot = start_hot(source(spark), anomaly_table(roots.hot), profile, available_now=available_now, query_name="hot_path")
     if wait:
-        spark.streams.awaitAnyTermination()
+        if available_now:  # both finish by themselves: wait for both
+            cold.awaitTermination()
+            hot.awaitTermination()
+        else:
+            spark.streams.awaitAnyTermination()
         for q in (cold, hot):
             if q.exception() is not None:
                 raise q.exception()
