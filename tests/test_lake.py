@@ -65,3 +65,14 @@ def test_register_table_and_repair(spark, tmp_path):
     spark.sql(f"MSCK REPAIR TABLE {name}")
     assert spark.table(name).count() == 2
     assert spark.sql(f"SELECT count(*) AS n FROM {name} WHERE day = 3").first().n == 1
+
+
+def test_compact_days_rewrites_range(spark, tmp_path):
+    from txnscope.sinks.lake import compact_days
+
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    for d in range(1, 4):  # three separate small appends, as a streaming sink leaves them
+        write_cold(txn_frame(spark, [(f"{d}{i}", "u", 1.0, f"2024-01-0{d} 0{i}:00:00") for i in range(3)]), src)
+    compact_days(spark, src, dst, "2024-01-01", "2024-01-03")
+    out = read_cold(spark, dst)
+    assert sorted(r.transaction_id for r in out.collect()) == ["10", "11", "12", "20", "21", "22"]

@@ -181,3 +181,16 @@ def test_observed_metrics_reach_listener(spark, tmp_path):
     finally:
         spark.streams.removeListener(collector)
 
+
+
+def test_hot_path_reports_flagged_windows(spark, tmp_path):
+    from txnscope.sources.stream import transaction_stream
+
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    write_file(src, "a.json", [payload("1", "u1", "12:00:00", 2500.0), payload("2", "u2", "12:00:01")], 1)
+    txns = transaction_stream(spark, "text", path=src, options={"maxFilesPerTrigger": "1"})
+    q = start_hot(txns, anomaly_table(str(tmp_path / "hot")), ANOMALY, available_now=True)
+    q.awaitTermination()
+    observed = [p["observedMetrics"]["anomaly_windows"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["windows"] for m in observed) == 2 and sum(m["flagged"] for m in observed) == 1

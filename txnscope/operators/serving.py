@@ -65,8 +65,9 @@ def serving_feed(records: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
 
 
 def kpi_summary(records: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
-    """One row: ``shown`` (feed size, capped), ``total`` flagged, latest detection, and the
-    most flagged user among the shown rows (ties -> smallest user id).
+    """One row: ``shown`` (feed size, capped), ``total`` flagged, latest detection (and its
+    ``HH:mm:ss UTC`` label), and the most flagged user among the shown rows (ties ->
+    smallest user id).
 
     ``total`` is a scalar subquery: a separate small aggregation, no join.
     """
@@ -78,7 +79,13 @@ def kpi_summary(records: DataFrame, limit: int = FEED_LIMIT) -> DataFrame:
         F.max("detected_at").alias("latest_detected_at"),
         F.mode("user_id", deterministic=True).alias("most_flagged_user"),
     )
-    return stats.select("shown", total.alias("total"), "latest_detected_at", "most_flagged_user")
+    return stats.select(
+        "shown",
+        total.alias("total"),
+        "latest_detected_at",
+        F.concat(F.date_format("latest_detected_at", "HH:mm:ss"), F.lit(" UTC")).alias("latest_label"),
+        "most_flagged_user",
+    )
 
 
 def _flags_as_array(df: DataFrame, column: str):

@@ -259,6 +259,7 @@ ORACLE: dict[str, str] = {
     "kpi_summary": _with(TXN, WIN_A_DAY, RECORDS, FEED)
     + "SELECT (SELECT count(*) FROM feed) AS shown, (SELECT count(*) FROM rec) AS total, "
     "(SELECT max(_detected) FROM feed) AS latest_detected_at, "
+    "(SELECT strftime(max(_detected), '%H:%M:%S') || ' UTC' FROM feed) AS latest_label, "
     "(SELECT user_id FROM feed GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1) AS most_flagged_user",
     "flag_breakdown": _with(TXN, WIN_A_DAY, RECORDS, FEED)
     + "SELECT flag, count(*) AS count FROM (SELECT unnest(string_split(anomaly_flags, ',')) AS flag FROM feed) "

@@ -52,6 +52,27 @@ def build_session(
     return spark
 
 
+# Starting points for a large cluster (order of 1000 executors, ~100 TB of input). The
+# shuffle partition count is an upper bound that AQE coalesces down to ~256 MB per
+# partition at runtime; it is fixed for stateful streaming queries at their first start,
+# so choose it for the largest expected state. Skewed shuffle partitions are split by AQE.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": UTC,
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.metricsEnabled": "true",
+}
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Window alignment, calendar partition columns and ISO text all assume UTC."""
     spark.conf.set("spark.sql.session.timeZone", UTC)

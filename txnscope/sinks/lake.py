@@ -125,6 +125,6 @@ def compact_days(
     sampled boundaries rather than hashed into one.
     """
     rows = cold_range(read_cold(spark, path), start, end)
-    n = max(1, spark.sparkContext.defaultParallelism)
-    laid_out = rows.repartitionByRange(n, *PARTITION_COLUMNS, "event_timestamp")
+    # Range partitions sized by AQE (advisory partition size), not a fixed count.
+    laid_out = rows.repartitionByRange(*PARTITION_COLUMNS, "event_timestamp")
     write_cold(laid_out, target, mode="overwrite", max_records_per_file=max_records_per_file)

@@ -10,7 +10,8 @@ for tests and backfills (process what is there, then stop).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from txnscope.config import ANOMALY, COLD_TRIGGER, FRAUD, HOT_TRIGGER, RuleProfile
@@ -26,6 +27,16 @@ def _trigger(writer: DataStreamWriter, interval: str, available_now: bool) -> Da
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
+def observe_windows(windows: DataFrame, profile: RuleProfile) -> DataFrame:
+    """Per-batch counts of emitted and flagged windows, reported with each progress event
+    (``observedMetrics['<profile>_windows']``) without a second pass over the batch."""
+    return windows.observe(
+        f"{profile.name}_windows",
+        F.count(F.lit(1)).alias("windows"),
+        F.count_if(F.col(profile.flagged)).alias("flagged"),
+    )
+
+
 def anomaly_table(root: str) -> KeyedTable:
     return KeyedTable(root=root, key=("transaction_id",), schema=ANOMALY_RECORD)
 
@@ -39,7 +50,7 @@ def start_hot(
     table: KeyedTable,
     profile: RuleProfile = ANOMALY,
     window: str | None = None,
-    as_of: Column | str | None = None,
+    as_of: str | None = None,
     available_now: bool = False,
     trigger: str = HOT_TRIGGER,
     query_name: str | None = None,
@@ -50,7 +61,7 @@ def start_hot(
     latest view turn those re-emissions into an upsert. For this profile count and max
     only grow, so filtering flagged rows per batch equals filtering the final state.
     """
-    windows = aggregate(txns, profile, window)
+    windows = observe_windows(aggregate(txns, profile, window), profile)
 
     def sink(batch, batch_id: int) -> None:
         table.write_batch(anomaly_records(batch, profile, as_of), batch_id)
@@ -70,7 +81,7 @@ def start_fraud_hot(
     table: KeyedTable,
     profile: RuleProfile = FRAUD,
     window: str | None = None,
-    as_of: Column | str | None = None,
+    as_of: str | None = None,
     available_now: bool = False,
     trigger: str = HOT_TRIGGER,
     query_name: str | None = None,
@@ -80,7 +91,7 @@ def start_fraud_hot(
     Alerts are a view over the latest aggregate rows (``records.fraud_alerts``), so a
     window un-flagged by a later refund no longer shows an alert.
     """
-    windows = aggregate(txns, profile, window)
+    windows = observe_windows(aggregate(txns, profile, window), profile)
 
     def sink(batch, batch_id: int) -> None:
         table.write_batch(fraud_aggregates(batch, profile, as_of), batch_id)
@@ -101,7 +112,7 @@ def start_final(
     checkpoint: str,
     profile: RuleProfile = ANOMALY,
     window: str | None = None,
-    as_of: Column | str | None = None,
+    as_of: str | None = None,
     available_now: bool = False,
     trigger: str = HOT_TRIGGER,
     query_name: str | None = None,
