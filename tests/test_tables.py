@@ -56,3 +56,19 @@ def test_latest_view_limits_per_key_before_shuffle(spark, tmp_path):
     t.write_batch(frame(spark, [rec("a", 4, 10**10)]), 0)
     plan = t.latest(spark)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_compaction_stops_at_last_committed_batch(spark, tmp_path):
+    import os
+
+    t = table(tmp_path)
+    t.write_batch(frame(spark, [rec("a", 4, 2_000_000_000)]), 0)
+    t.write_batch(frame(spark, [rec("a", 5, 2_000_000_000)]), 1)
+    t.write_batch(frame(spark, [rec("a", 6, 2_000_000_000)]), 2)  # written, not committed
+    os.makedirs(os.path.join(t.checkpoint, "commits"))
+    for i in (0, 1):
+        open(os.path.join(t.checkpoint, "commits", str(i)), "w").close()
+    assert t.compact(spark, "2024-02-15 00:00:00") == 1
+    ids = sorted(r.batch_id for r in t.log_rows(spark).select("batch_id").distinct().collect())
+    assert ids == [1, 2]
+    assert [r.transaction_count for r in t.latest(spark).collect()] == [6]

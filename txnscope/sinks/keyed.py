@@ -11,8 +11,8 @@ own files: writes are idempotent. The *latest view* keeps, per key, the row of t
 ``batch_id``; the *live view* also drops rows whose ``ttl`` (epoch seconds) has passed.
 Log and checkpoint share one root because a fresh checkpoint restarts ``batch_id`` at 0.
 
-Compaction rewrites the live rows into the newest partition and removes older ones; it
-must not run while the feeding query writes.
+Compaction rewrites the live rows of all committed batches into the newest committed
+partition and removes older ones; run it between query runs, not while the query writes.
 """
 
 from __future__ import annotations
@@ -50,12 +50,41 @@ def _batch_ids(spark: SparkSession, log: str) -> list[int]:
     return sorted(ids)
 
 
+def _last_committed(spark: SparkSession, checkpoint: str) -> int | None:
+    """Highest batch id in the streaming checkpoint's commit log (None: no stream)."""
+    p, fs = _jvm_path(spark, f"{checkpoint}/commits")
+    if not fs.exists(p):
+        return None
+    ids = [int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()]
+    return max(ids) if ids else -1
+
+
+def _latest(log: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """``row_number() = 1`` per key by descending batch: Spark inserts a partial per-key
+    group limit before the shuffle, so superseded versions are dropped map-side."""
+    w = Window.partitionBy(*[F.col(k) for k in key]).orderBy(F.col(BATCH).desc())
+    return log.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def _live(rows: DataFrame, ttl_column: str, as_of: Column | str | None) -> DataFrame:
+    if as_of is None:
+        at = F.current_timestamp()
+    elif isinstance(as_of, Column):
+        at = as_of
+    else:
+        at = F.lit(as_of).cast("timestamp")
+    return rows.filter(F.col(ttl_column) > F.unix_timestamp(at))
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     root: str
     key: tuple[str, ...]
     schema: T.StructType  # row schema without batch_id
     ttl_column: str = "ttl"
+    # Files per micro-batch: the batch arrives with one partition per state-store
+    # partition (thousands on a cluster); a small shuffle on the key bounds the file count.
+    files_per_batch: int | None = 8
 
     @property
     def log(self) -> str:
@@ -68,9 +97,11 @@ class KeyedTable:
     # ---------------------------------------------------------------- write side
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Idempotent write of one batch (safe to call again with the same id)."""
+        out = rows.select(*[F.col(f.name) for f in self.schema.fields])
+        if self.files_per_batch:
+            out = out.repartition(self.files_per_batch, *[F.col(k) for k in self.key])
         (
-            rows.select(*[F.col(f.name) for f in self.schema.fields])
-            .withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+            out.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH)
@@ -85,42 +116,36 @@ class KeyedTable:
         return spark.read.schema(schema).parquet(self.log)
 
     def latest(self, spark: SparkSession) -> DataFrame:
-        """Newest row per key. ``row_number() = 1`` lets Spark insert a partial
-        per-key group limit before the shuffle, so old versions are dropped map-side."""
-        w = Window.partitionBy(*[F.col(k) for k in self.key]).orderBy(F.col(BATCH).desc())
-        return (
-            self.log_rows(spark)
-            .withColumn("_rank", F.row_number().over(w))
-            .filter(F.col("_rank") == 1)
-            .drop("_rank", BATCH)
-        )
+        """Newest row per key."""
+        return _latest(self.log_rows(spark), self.key).drop(BATCH)
 
     def live(self, spark: SparkSession, as_of: Column | str | None = None) -> DataFrame:
-        """Latest rows whose expiry is still ahead of ``as_of`` (default: now)."""
-        if as_of is None:
-            at = F.current_timestamp()
-        elif isinstance(as_of, Column):
-            at = as_of
-        else:
-            at = F.lit(as_of).cast("timestamp")
-        return self.latest(spark).filter(F.col(self.ttl_column) > F.unix_timestamp(at))
+        """Latest rows whose expiry is still ahead of ``as_of`` (default: now; a string
+        is a timestamp literal such as ``'2024-02-15 00:00:00'``)."""
+        return _live(self.latest(spark), self.ttl_column, as_of)
 
     # ---------------------------------------------------------------- maintenance
     def compact(self, spark: SparkSession, as_of: Column | str | None = None) -> int | None:
         """Collapse the log to its live rows; returns the batch id they now carry.
 
-        The live rows are checkpointed (reliable checkpoint in the shared folder) to cut
-        the lineage to the files about to be replaced, then written as the newest
-        partition; older partitions are deleted afterwards. A crash in between leaves
-        duplicates of the same key in old partitions, which the latest view resolves.
+        Only batches the feeding stream has committed are compacted (a batch after the
+        last commit may still be replayed and would overwrite the snapshot). The live rows
+        of those batches are checkpointed (reliable checkpoint in the shared folder) to
+        cut the lineage to the files about to be replaced, written as the newest compacted
+        partition, and older partitions are deleted afterwards. A crash in between leaves
+        duplicates of a key in old partitions, which the latest view resolves.
         """
         ids = _batch_ids(spark, self.log)
+        committed = _last_committed(spark, self.checkpoint)
+        if committed is not None:
+            ids = [i for i in ids if i <= committed]
         if not ids:
             return None
-        newest_id = ids[-1]
-        snapshot = self.live(spark, as_of).checkpoint(eager=True)
-        self.write_batch(snapshot, newest_id)
+        upto = ids[-1]
+        covered = self.log_rows(spark).where(F.col(BATCH) <= F.lit(upto))
+        snapshot = _live(_latest(covered, self.key), self.ttl_column, as_of).checkpoint(eager=True)
+        self.write_batch(snapshot, upto)
         for old in ids[:-1]:
             p, fs = _jvm_path(spark, f"{self.log}/{BATCH}={old}")
             fs.delete(p, True)
-        return newest_id
+        return upto

@@ -139,9 +139,19 @@ def start_cold(
     available_now: bool = False,
     trigger: str = COLD_TRIGGER,
     query_name: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Every transaction, appended to the date-partitioned Parquet table (no shuffle)."""
+    """Every transaction, appended to the date-partitioned Parquet table.
+
+    By default there is no shuffle: each source partition's task writes one file per date
+    it holds per trigger. With many source partitions and short triggers that is many
+    small files; ``files_per_batch`` spreads rows round-robin over that many writers (no
+    key, so a date holding a third of the rows cannot overload one task), and
+    ``sinks.lake.compact_days`` rewrites closed days later.
+    """
     rows = with_partition_columns(with_category(txns).select(*TRANSACTION_COLUMNS))
+    if files_per_batch:
+        rows = rows.repartition(files_per_batch)
     writer = (
         rows.writeStream.outputMode("append")
         .format("parquet")
