@@ -1,0 +1,54 @@
+"""Synthetic transaction stream: the original point-of-sale producer as a Spark query.
+
+A ``rate`` source emits ``rows_per_second`` rows (the original paced itself at about 2 per
+second); each row becomes a labelled synthetic transaction (``sources.synth``), encoded
+as the JSON payload with the user as key, and written to Kafka or to a folder of JSON
+lines. Throughput scales with the source's ``numPartitions``, not with a driver loop.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from txnscope.sources.synth import ANOMALY_RATE, synth_transactions
+
+DEFAULT_RATE = 2  # rows per second
+
+
+def synthetic_payloads(spark: SparkSession, rows_per_second: int = DEFAULT_RATE, seed: int = 42,
+                       anomaly_rate: float = ANOMALY_RATE, partitions: int | None = None):
+    """Streaming ``(key, value, is_anomaly)`` frame of encoded synthetic transactions."""
+    reader = spark.readStream.format("rate").option("rowsPerSecond", str(rows_per_second))
+    if partitions:
+        reader = reader.option("numPartitions", str(partitions))
+    ticks = reader.load()  # (timestamp, value)
+    txns = synth_transactions(ticks, row_id="value", event_time="timestamp", seed=seed, anomaly_rate=anomaly_rate)
+    record = "to_json(named_struct('transaction_id', transaction_id, 'user_id', user_id, 'amount', amount, " \
+             "'merchant', merchant, 'timestamp', timestamp))"
+    return txns.selectExpr("user_id AS key", f"{record} AS value", "is_anomaly")
+
+
+def start_producer(
+    spark: SparkSession,
+    checkpoint: str,
+    fmt: str = "kafka",
+    options: dict[str, str] | None = None,
+    path: str | None = None,
+    rows_per_second: int = DEFAULT_RATE,
+    seed: int = 42,
+    trigger: str = "1 second",
+) -> StreamingQuery:
+    """Start writing synthetic payloads: ``fmt='kafka'`` (pass ``kafka.bootstrap.servers``
+    and ``topic``) or ``fmt='text'`` into ``path`` (one JSON record per line)."""
+    frame = synthetic_payloads(spark, rows_per_second, seed)
+    if fmt == "kafka":
+        out = frame.selectExpr("key", "value")
+    else:
+        out = frame.selectExpr("value")
+    writer = out.writeStream.format(fmt).option("checkpointLocation", checkpoint).trigger(processingTime=trigger)
+    for key, value in (options or {}).items():
+        writer = writer.option(key, value)
+    if path:
+        writer = writer.option("path", path)
+    return writer.start()
