@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from txnscope.config import ANOMALY
 from txnscope.operators.windows import window_metrics

@@ -37,3 +37,42 @@ def test_no_python_udfs_anywhere(spark):
             continue
         plan = physical(q(spark, SF001))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def _walk(node):
+    yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from _walk(children.apply(i))
+
+
+def test_hot_user_collapses_before_shuffle(spark):
+    """A user with a third of all rows crosses the exchange as one row per map task."""
+    from txnscope.config import ANOMALY
+    from txnscope.operators.windows import aggregate
+
+    tasks, n = 8, 120_000
+    txns = spark.range(0, n, numPartitions=tasks).selectExpr(
+        "CAST(id AS STRING) AS transaction_id",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('user_', CAST(id % 2000 AS STRING)) END AS user_id",
+        "CAST(id % 997 AS DOUBLE) AS amount",
+        "'m' AS merchant",
+        "CAST(NULL AS STRING) AS merchant_category",
+        "timestamp_seconds(1704067200 + id % 86400) AS arrival_time",
+        "timestamp_seconds(1704067200 + id % 86400) AS event_timestamp",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = aggregate(txns, ANOMALY, "1 day")
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    partial = [
+        node for node in _walk(plan)
+        if node.nodeName() == "HashAggregate" and "partial_count" in node.toString()
+    ]
+    (node,) = partial
+    shuffled = node.metrics().get("numOutputRows").get().value()
+    assert shuffled <= len(rows) * tasks  # at most one row per group per map task
+    assert [r.transaction_count for r in rows if r.user_id == "hot"] == [n // 3]

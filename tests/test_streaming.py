@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from txnscope.config import ANOMALY, FRAUD
 from txnscope.operators.records import fraud_alerts
