@@ -70,7 +70,7 @@ def test_hot_user_collapses_before_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     partial = [
         node for node in _walk(plan)
-        if node.nodeName() == "HashAggregate" and "partial_count" in node.toString()
+        if node.nodeName() == "HashAggregate" and "partial_count" in node.simpleString(400)
     ]
     (node,) = partial
     shuffled = node.metrics().get("numOutputRows").get().value()
