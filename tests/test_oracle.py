@@ -44,6 +44,8 @@ EXPECTED_ROWS = {
     "stream_cold_path": 10000,
     "stream_anomalies": 956,
     "stream_anomalies_final": 928,
+    "stream_fraud_alerts": 1192,
+    "stream_valid_txns": 10000,
 }
 
 

@@ -193,3 +193,21 @@ def test_hot_path_reports_flagged_windows(spark, tmp_path):
     q.awaitTermination()
     observed = [p["observedMetrics"]["anomaly_windows"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["windows"] for m in observed) == 2 and sum(m["flagged"] for m in observed) == 1
+
+
+def test_streaming_quarantine_routes_once(spark, tmp_path):
+    from txnscope.sources.payload import ROUTED, read_routed
+    from txnscope.streaming.paths import start_quarantine
+
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    write_file(src, "a.json", [payload("1", "u1", "12:00:00"), "not json", '{"transaction_id":"x"}'], 1)
+    write_file(src, "b.json", [payload("2", "u2", "12:00:01"), payload("3", "u2", "garbage")], 2)
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", "1").load(src)
+    out = str(tmp_path / "routed")
+    start_quarantine(to_envelope(raw, arrival_time=None), out, str(tmp_path / "ckpt"), available_now=True).awaitTermination()
+    valid, bad = read_routed(spark, out, ROUTED)
+    assert sorted(r.transaction_id for r in valid.collect()) == ["1", "2"]
+    assert sorted(r.reject_reason for r in bad.collect()) == [
+        "BAD_TIMESTAMP", "MALFORMED_JSON", "MISSING_FIELD:user_id,amount,timestamp",
+    ]

@@ -35,11 +35,21 @@ from txnscope.sources.payload import (
     classify_payloads,
     decode_payload,
     encode_payload,
+    ROUTED,
     quarantined_payloads,
+    read_routed,
     valid_payloads,
 )
 from txnscope.sources.synth import synth_transactions
-from txnscope.streaming.paths import anomaly_table, start_cold, start_final, start_hot
+from txnscope.streaming.paths import (
+    anomaly_table,
+    fraud_table,
+    start_cold,
+    start_final,
+    start_fraud_hot,
+    start_hot,
+    start_quarantine,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,6 +292,28 @@ def q_stream_anomalies_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(spark.read.schema(ANOMALY_RECORD).parquet(f"{root}/table"), joined=("anomaly_flags",))
 
 
+def q_stream_fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    table = fraud_table(scratch_path(spark, "stream-fraud"))
+    txns = events_as_transactions(read_events_stream(spark, sf_dir))
+    q = start_fraud_hot(txns, table, FRAUD, window=DAY, as_of="window_end", available_now=True)
+    q.awaitTermination()
+    return for_compare(fraud_alerts(table.latest(spark)), joined=("fraud_flags",))
+
+
+def q_stream_valid_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-quarantine")
+    events = events_as_transactions(read_events_stream(spark, sf_dir))
+    envelope = encode_payload(events, keep=("arrival_time",)).selectExpr(
+        "CAST(value AS BINARY) AS data", "arrival_time"
+    )
+    q = start_quarantine(envelope, f"{root}/table", f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    valid, _ = read_routed(spark, f"{root}/table", ROUTED)
+    return for_compare(valid, TXN_TS)
+
+
 QUERIES: dict[str, Query] = {
     "anomaly_windows": q_anomaly_windows,
     "anomaly_windows_1min": q_anomaly_windows_1min,
@@ -312,4 +344,6 @@ QUERIES: dict[str, Query] = {
     "stream_cold_path": q_stream_cold_path,
     "stream_anomalies": q_stream_anomalies,
     "stream_anomalies_final": q_stream_anomalies_final,
+    "stream_fraud_alerts": q_stream_fraud_alerts,
+    "stream_valid_txns": q_stream_valid_txns,
 }

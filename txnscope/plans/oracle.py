@@ -211,6 +211,18 @@ win AS (
 )"""
 
 
+FRAUD_ALERTS_SQL = (
+    _with(TXN, WIN_B_DAY, FRAUD_AGGS)
+    + "SELECT pk || '#' || sk AS alert_id, user_id, window_start, window_end, transaction_count, "
+    "total_amount, max_amount, fraud_flags, "
+    "CASE WHEN len(string_split(fraud_flags, ',')) > 1 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, "
+    "'NEW' AS status, processed_at AS created_at, "
+    f"ttl + {(FRAUD.alert_ttl_days - FRAUD.record_ttl_days) * _DAY_S} AS ttl FROM agg WHERE is_fraud"
+)
+DECODED_SQL = (
+    _with(TXN) + "SELECT transaction_id, user_id, amount, merchant, arrival_time, event_timestamp FROM txn"
+)
+
 ORACLE: dict[str, str] = {
     "anomaly_windows": _with(TXN, WIN_A_DAY)
     + f"SELECT window_start, window_end, user_id, transaction_count, max_amount, {A_FLAGS} FROM win",
@@ -224,12 +236,7 @@ ORACLE: dict[str, str] = {
     f"(max_amount > {_B_AMOUNT}) AS is_high_amount, (transaction_count > {_B_COUNT}) AS is_high_frequency, "
     f"(total_amount > {_B_TOTAL}) AS is_high_total_spend, {B_FRAUD} AS is_fraud FROM win",
     "fraud_aggregates": _with(TXN, WIN_B_DAY, FRAUD_AGGS) + "SELECT * FROM agg",
-    "fraud_alerts": _with(TXN, WIN_B_DAY, FRAUD_AGGS)
-    + "SELECT pk || '#' || sk AS alert_id, user_id, window_start, window_end, transaction_count, "
-    "total_amount, max_amount, fraud_flags, "
-    "CASE WHEN len(string_split(fraud_flags, ',')) > 1 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, "
-    "'NEW' AS status, processed_at AS created_at, "
-    f"ttl + {(FRAUD.alert_ttl_days - FRAUD.record_ttl_days) * _DAY_S} AS ttl FROM agg WHERE is_fraud",
+    "fraud_alerts": FRAUD_ALERTS_SQL,
     "sliding_windows": _with(TXN, _sliding())
     + f"SELECT window_start, window_end, user_id, transaction_count, max_amount, {A_FLAG_LIST} AS anomaly_flags, "
     f"((max_amount > {_A_AMOUNT}) OR (transaction_count > {_A_COUNT})) AS is_anomaly FROM win",
@@ -276,8 +283,7 @@ ORACLE: dict[str, str] = {
     "encode_payload": _with(TXN)
     + f"SELECT user_id AS key, transaction_id, user_id, amount, merchant, {_iso_utc('event_timestamp')} AS timestamp "
     "FROM txn",
-    "decode_payload": _with(TXN)
-    + "SELECT transaction_id, user_id, amount, merchant, arrival_time, event_timestamp FROM txn",
+    "decode_payload": DECODED_SQL,
     "valid_txns": _with(TXN, ENCODED, EDGE_PAYLOADS, CLASSIFIED)
     + "SELECT transaction_id, user_id, amount, merchant, arrival_time, event_timestamp FROM parsed "
     "WHERE reject_reason IS NULL",
@@ -288,4 +294,6 @@ ORACLE: dict[str, str] = {
     "stream_anomalies_final": _with(TXN, WIN_A_DAY, RECORDS)
     + f"SELECT {RECORD_COLUMNS} FROM rec "
     f"WHERE _detected <= (SELECT max(ts) FROM events) - INTERVAL '{ANOMALY.watermark}'",
+    "stream_fraud_alerts": FRAUD_ALERTS_SQL,
+    "stream_valid_txns": DECODED_SQL,
 }

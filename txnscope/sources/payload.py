@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnscope.functions.values import iso_utc_sql
 from txnscope.schemas import (
@@ -43,6 +44,17 @@ def to_envelope(df: DataFrame, data: str = "value", arrival_time: str | None = "
     return df.select(F.col(data).cast("binary").alias("data"), arrival.alias("arrival_time"))
 
 
+# Schema of a routed folder (classified rows + status partition).
+ROUTED = T.StructType(
+    [
+        T.StructField("raw", T.StringType(), True),
+        *[T.StructField(f.name, f.dataType, True) for f in PAYLOAD.fields if f.name != "timestamp"],
+        T.StructField("arrival_time", T.TimestampType(), True),
+        T.StructField("event_timestamp", T.TimestampType(), True),
+        T.StructField("reject_reason", T.StringType(), True),
+        T.StructField("status", T.StringType(), True),
+    ]
+)
 _PAYLOAD_DDL = PAYLOAD.simpleString()
 _PAYLOAD_CORRUPT_DDL = PAYLOAD_WITH_CORRUPT.simpleString()
 _TEXT = "CAST(data AS STRING)"
@@ -153,8 +165,14 @@ def route_payloads(envelope: DataFrame, path: str, mode: str = "overwrite") -> t
         F.when(F.col("reject_reason").isNull(), F.lit(STATUS_VALID)).otherwise(F.lit(STATUS_REJECTED)),
     )
     classified.write.mode(mode).partitionBy("status").parquet(path)
-    spark = envelope.sparkSession
-    table = spark.read.schema(classified.schema).parquet(path)
+    return read_routed(envelope.sparkSession, path, ROUTED)
+
+
+def read_routed(spark, path: str, schema=None) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) from a folder written by ``route_payloads`` or
+    ``streaming.paths.start_quarantine``; each side reads only its partition."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    table = reader.parquet(path)
     return (
         valid_payloads(table.where(F.col("status") == STATUS_VALID)),
         quarantined_payloads(table.where(F.col("status") == STATUS_REJECTED)),

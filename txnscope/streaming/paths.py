@@ -20,7 +20,7 @@ from txnscope.operators.windows import aggregate
 from txnscope.schemas import ANOMALY_RECORD, FRAUD_AGGREGATE, PARTITION_COLUMNS, TRANSACTION_COLUMNS
 from txnscope.sinks.keyed import KeyedTable
 from txnscope.sinks.lake import with_partition_columns
-from txnscope.sources.payload import with_category
+from txnscope.sources.payload import STATUS_REJECTED, STATUS_VALID, classify_payloads, with_category
 
 
 def _trigger(writer: DataStreamWriter, interval: str, available_now: bool) -> DataStreamWriter:
@@ -163,3 +163,32 @@ def start_cold(
     if query_name:
         writer = writer.queryName(query_name)
     return _trigger(writer, trigger, available_now).start()
+
+
+def start_quarantine(
+    envelope: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    trigger: str = COLD_TRIGGER,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Classify every payload once and append it under ``path/status=valid|rejected``.
+
+    Valid rows and the quarantine are then partition-pruned reads of one table
+    (``sinks.lake``-style readers or ``spark.read.parquet(path).where("status = 'valid'")``).
+    """
+    classified = classify_payloads(envelope).withColumn(
+        "status",
+        F.when(F.col("reject_reason").isNull(), F.lit(STATUS_VALID)).otherwise(F.lit(STATUS_REJECTED)),
+    )
+    writer = (
+        classified.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("status")
+    )
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, trigger, available_now).start()
