@@ -76,3 +76,12 @@ def test_compact_days_rewrites_range(spark, tmp_path):
     compact_days(spark, src, dst, "2024-01-01", "2024-01-03")
     out = read_cold(spark, dst)
     assert sorted(r.transaction_id for r in out.collect()) == ["10", "11", "12", "20", "21", "22"]
+
+
+def test_overwrite_replaces_only_present_days(spark, tmp_path):
+    path = str(tmp_path / "cold")
+    write_cold(txn_frame(spark, [("1", "u", 1.0, "2024-01-01 01:00:00"), ("2", "u", 1.0, "2024-01-02 01:00:00")]), path)
+    rerun = txn_frame(spark, [("3", "u", 1.0, "2024-01-02 02:00:00")])
+    write_cold(rerun, path, mode="overwrite")
+    write_cold(rerun, path, mode="overwrite")  # a second re-run changes nothing
+    assert sorted(r.transaction_id for r in read_cold(spark, path).collect()) == ["1", "3"]

@@ -38,11 +38,18 @@ def write_cold(
     mode: str = "append",
     max_records_per_file: int | None = None,
 ) -> None:
-    """Batch write (backfill/compaction) of transactions into the cold table."""
+    """Batch write (backfill/compaction) of transactions into the cold table.
+
+    ``mode="overwrite"`` replaces only the days present in ``df`` (dynamic partition
+    overwrite), so re-running a backfill after a failure is idempotent and leaves other
+    days alone. Write batch backfills to a batch-managed folder, not into a streaming
+    sink's folder: readers of the latter only see files in its ``_spark_metadata`` log.
+    """
     writer = (
         with_partition_columns(with_category(df).select(*TRANSACTION_COLUMNS))
         .write.mode(mode)
         .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS)
     )
     if max_records_per_file:
