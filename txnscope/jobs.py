@@ -7,23 +7,29 @@
 * ``produce``   synthetic transaction stream into Kafka or a folder
 
 Paths must be on shared storage; the checkpoint folder comes from ``spark.checkpoint.dir``.
+Only the driver runs Python: every plan is built from Spark SQL expressions (no UDFs) and
+``foreachBatch`` bodies run on the driver, so executors need no Python package.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from txnscope.config import ANOMALY, FRAUD
-from txnscope.operators import analytics
-from txnscope.session import pin_utc
-from txnscope.sinks.lake import compact_days, read_cold
-from txnscope.sources.stream import transaction_stream
-from txnscope.streaming.paths import anomaly_table, fraud_table, start_fraud_hot
-from txnscope.streaming.producer import start_producer
-from txnscope.streaming.runner import PipelineRoots, run_both
+from pyspark.sql import SparkSession  # noqa: E402
+
+from txnscope.config import ANOMALY, FRAUD  # noqa: E402
+from txnscope.operators import analytics  # noqa: E402
+from txnscope.session import pin_utc  # noqa: E402
+from txnscope.sinks.lake import compact_days, read_cold  # noqa: E402
+from txnscope.sources.stream import transaction_stream  # noqa: E402
+from txnscope.streaming.paths import anomaly_table, fraud_table, start_fraud_hot  # noqa: E402
+from txnscope.streaming.producer import start_producer  # noqa: E402
+from txnscope.streaming.runner import PipelineRoots, run_both  # noqa: E402
 
 
 def _source_kwargs(args) -> dict:

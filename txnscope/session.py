@@ -90,7 +90,13 @@ def shared_root(spark: SparkSession) -> str:
     cluster an unset folder is an error: a machine-local path would not survive the loss
     of the executor or driver host that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
