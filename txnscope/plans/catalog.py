@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,6 @@ from txnscope.operators.records import anomaly_records, fraud_aggregates, fraud_
 from txnscope.operators.windows import aggregate
 from txnscope.schemas import ANOMALY_RECORD, PAYLOAD, PAYLOAD_FIELDS
 from txnscope.session import pin_utc, scratch_path
-from txnscope.sinks.keyed import path_exists
 from txnscope.sinks.lake import read_cold, write_cold
 from txnscope.sources.events import (
     events_as_transactions,
@@ -92,13 +92,17 @@ _COLD_TABLES: dict[tuple[str, str], str] = {}
 
 
 def cold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", ""), sf_dir)
     path = _COLD_TABLES.get(key)
-    if path is None or not path_exists(spark, path):
-        path = scratch_path(spark, "cold")
-        write_cold(_txns(spark, sf_dir), path, mode="overwrite")
-        _COLD_TABLES[key] = path
-    pin_utc(spark)
+    if path is not None:
+        try:
+            pin_utc(spark)
+            return read_cold(spark, path)
+        except AnalysisException:  # scratch folder removed since: write it again
+            pass
+    path = scratch_path(spark, "cold")
+    write_cold(_txns(spark, sf_dir), path, mode="overwrite")
+    _COLD_TABLES[key] = path
     return read_cold(spark, path)
 
 

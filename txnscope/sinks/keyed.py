@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 BATCH = "batch_id"
 
@@ -111,9 +112,12 @@ class KeyedTable:
     # ----------------------------------------------------------------- read side
     def log_rows(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType(), True)])
-        if not path_exists(spark, self.log):
+        try:
+            return spark.read.schema(schema).parquet(self.log)
+        except AnalysisException as err:  # nothing written yet
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(self.log)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Newest row per key."""
