@@ -1,7 +1,7 @@
-"""Streaming queries: hot path (keyed upsert), final path (sealed windows), cold path.
+"""Streaming queries: hot paths (keyed upsert, rule sets A and B), final path (sealed
+windows), cold path (every transaction) and quarantine (routed payloads).
 
-All three take a streaming frame of parsed transactions and reuse the batch operators
-unchanged. Each query has its own checkpoint; the hot path's checkpoint lives next to its
+They take streaming frames and reuse the batch operators unchanged. Each query has its own checkpoint; the hot path's checkpoint lives next to its
 log table (see :mod:`txnscope.sinks.keyed`).
 
 Triggers default to the original processing-time intervals; pass ``available_now=True``
