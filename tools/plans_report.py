@@ -33,13 +33,16 @@ def main() -> None:
     for name, query in QUERIES.items():
         df = query(spark, sf_dir)
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-        shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", plan))
+        plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+        exchanges = re.findall(r"(Reused)?Exchange (?:hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", plan)
+        shuffles = sum(1 for reused in exchanges if not reused)
+        reused = len(exchanges) - shuffles
         read = re.findall(r"ReadSchema: (\S+)", plan)
         rows.append(
-            "| {} | {} | {} | {} | {} | {} | {} |".format(
+            "| {} | {} | {} | {} | {} | {} | {} | {} |".format(
                 name,
                 shuffles,
+                reused or "",
                 "yes" if "partial_" in plan else "",
                 "yes" if "TakeOrderedAndProject" in plan else "",
                 "yes" if re.search(r"PartitionFilters: \[[^\]]+\]", plan) else "",
@@ -52,10 +55,11 @@ def main() -> None:
     print("# Physical plans\n")
     print(f"Generated by `tools/plans_report.py` on `{sf_dir}`, local[8], 8 shuffle partitions, AQE on.")
     print("Shuffles count every exchange in the final plan, including scalar subqueries and the")
-    print("single-partition merge of global aggregates. No query has a broadcast or a Python")
+    print("single-partition merge of global aggregates; `reused` counts exchanges Spark shares")
+    print("between a query and its subquery instead of recomputing. No query has a broadcast or a Python")
     print("evaluation node. Streaming queries show the plan of the read-back of their output.\n")
-    print("| query | shuffles | partial agg | top-k | partition filters | pushed filters | read schema |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | shuffles | reused | partial agg | top-k | partition filters | pushed filters | read schema |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     print("\n".join(rows))
     print()
     print("\n".join(bodies))
