@@ -34,9 +34,10 @@ def main() -> None:
         df = query(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
-        exchanges = re.findall(r"(Reused)?Exchange (?:hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", plan)
-        shuffles = sum(1 for reused in exchanges if not reused)
-        reused = len(exchanges) - shuffles
+        # Final adaptive plan: every executed shuffle is a ShuffleQueryStage; stages that
+        # wrap a ReusedExchange read another stage's output instead of shuffling again.
+        reused = plan.count("ReusedExchange")
+        shuffles = plan.count("ShuffleQueryStage") - reused
         read = re.findall(r"ReadSchema: (\S+)", plan)
         rows.append(
             "| {} | {} | {} | {} | {} | {} | {} | {} |".format(
@@ -54,9 +55,9 @@ def main() -> None:
     spark.stop()
     print("# Physical plans\n")
     print(f"Generated by `tools/plans_report.py` on `{sf_dir}`, local[8], 8 shuffle partitions, AQE on.")
-    print("Shuffles count every exchange in the final plan, including scalar subqueries and the")
-    print("single-partition merge of global aggregates; `reused` counts exchanges Spark shares")
-    print("between a query and its subquery instead of recomputing. No query has a broadcast or a Python")
+    print("Shuffles count the executed shuffle stages of the final adaptive plan, including scalar")
+    print("subqueries and the single-partition merge of global aggregates; `reused` counts stages that")
+    print("read another stage's shuffle output instead of recomputing it. No query has a broadcast or a Python")
     print("evaluation node. Streaming queries show the plan of the read-back of their output.\n")
     print("| query | shuffles | reused | partial agg | top-k | partition filters | pushed filters | read schema |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
