@@ -108,3 +108,66 @@ def test_sliding_windows_match_model(spark, rows):
     }
     want = {k: (c, m) for k, (c, m, _) in model(rows, minutes=5, slide=1).items()}
     assert got == want
+
+
+# ----------------------------------------------------------------- payload quarantine
+_MISSING = object()
+text_values = st.one_of(st.just(_MISSING), st.none(), st.sampled_from(["a", "u1", "", 5, {"x": 1}]))
+amount_values = st.one_of(
+    st.just(_MISSING), st.none(), st.sampled_from([12.5, 3, -1.0, 0, "7.5", "oops", True, [1]])
+)
+time_values = st.one_of(
+    st.just(_MISSING), st.none(),
+    st.sampled_from(["2026-05-28T12:00:00Z", "2026-05-28T12:00:00.5+00:00", "2026-05-28 12:00:00", "garbage", "2026-13-45"]),
+)
+payload_strategy = st.one_of(
+    st.fixed_dictionaries(
+        {"transaction_id": text_values, "user_id": text_values, "amount": amount_values,
+         "merchant": text_values, "timestamp": time_values, "extra": st.just(_MISSING) | st.integers(0, 3)}
+    ),
+    st.sampled_from([None, "", "   ", "not json", "{", '{"amount": 1', "[1, 2"]),
+)
+
+
+def _encode(p):
+    import json
+
+    if not isinstance(p, dict):
+        return p
+    return json.dumps({k: v for k, v in p.items() if v is not _MISSING})
+
+
+def _expected_reason(p):
+    from datetime import datetime as _dt
+
+    if p is None or (isinstance(p, str) and p.strip() == ""):
+        return "EMPTY_PAYLOAD"
+    if not isinstance(p, dict):
+        return "MALFORMED_JSON"
+    amount = p["amount"]
+    if amount is not _MISSING and amount is not None and (isinstance(amount, (bool, str, list)) or not isinstance(amount, (int, float))):
+        return "BAD_FIELD_TYPE"
+    missing = [f for f in ("transaction_id", "user_id", "amount", "timestamp") if p[f] is _MISSING or p[f] is None]
+    if missing:
+        return "MISSING_FIELD:" + ",".join(missing)
+    ts = p["timestamp"].replace("Z", "+00:00")
+    try:
+        _dt.fromisoformat(ts)
+    except ValueError:
+        return "BAD_TIMESTAMP"
+    return None
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(payloads=st.lists(payload_strategy, min_size=1, max_size=25))
+def test_quarantine_reasons_match_model(spark, payloads):
+    from txnscope.schemas import ENVELOPE
+    from txnscope.sources.payload import classify_payloads
+
+    texts = [_encode(p) for p in payloads]
+    env = spark.createDataFrame(
+        [(None if t is None else bytearray(t.encode()), BASE) for t in texts], ENVELOPE
+    )
+    got = [(r.raw, r.reject_reason) for r in classify_payloads(env).collect()]
+    want = [(t, _expected_reason(p)) for t, p in zip(texts, payloads)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
