@@ -63,6 +63,65 @@ def _grouped(
 
 _FLAT = ("window.start AS window_start", "window.end AS window_end", "user_id")
 
+# Metric -> how per-pane partial values merge into a window value (decomposable metrics).
+_PANE_MERGE = {COUNT: "sum", MAX_AMOUNT: "max", MIN_AMOUNT: "min", TOTAL_AMOUNT: "sum"}
+_UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
+                "week": 604_800_000_000}
+
+
+def _micros(duration: str) -> int | None:
+    """``'5 minutes'`` -> microseconds; None for forms this shortcut does not handle."""
+    parts = duration.strip().lower().split()
+    if len(parts) != 2 or not parts[0].isdigit():
+        return None
+    unit = parts[1][:-1] if parts[1].endswith("s") else parts[1]
+    return int(parts[0]) * _UNIT_MICROS[unit] if unit in _UNIT_MICROS else None
+
+
+def _pane_plan_applies(df: DataFrame, profile: RuleProfile, duration: str, slide: str | None) -> int | None:
+    """Windows per pane when the batch pane plan gives the same result, else None."""
+    if df.isStreaming or not slide or any(m not in _PANE_MERGE for m in profile.metrics):
+        return None
+    size, step = _micros(duration), _micros(slide)
+    if not size or not step or size <= step or size % step:
+        return None
+    return size // step
+
+
+def _sliding_by_panes(df: DataFrame, profile: RuleProfile, duration: str, slide: str, per_pane: int) -> DataFrame:
+    """Sliding windows from panes (tumbling windows of one slide), for batch input.
+
+    Spark's own sliding window copies every row into each of its ``duration/slide``
+    windows before the map-side aggregate, so with sparse users about that many rows per
+    event cross the shuffle. Here rows are first aggregated per (pane, user), with a
+    map-side partial aggregate, so a user holding a third of all rows collapses to one row
+    per task and pane. Panes are then hash-partitioned by user, and each pane is expanded
+    into the windows that contain it and merged inside the partition: grouping by
+    (window, user) is already satisfied by the user partitioning, so there is no third
+    exchange. A user's partition holds at most one row per pane of the time range, however
+    many transactions the user has. Count, max, min and sum merge exactly.
+    """
+    step = _micros(slide)
+    panes = (
+        df.groupBy(F.window(EVENT_TIME, slide).alias("pane"), F.col("user_id"))
+        .agg(*[F.expr(METRIC_SQL[m]).alias(m) for m in profile.metrics])
+        .repartition("user_id")
+    )
+    expanded = panes.selectExpr(
+        "user_id", *profile.metrics, "pane.start AS pane_start", f"explode(sequence(0, {per_pane - 1})) AS k"
+    ).selectExpr(
+        "user_id", *profile.metrics, f"timestamp_micros(unix_micros(pane_start) - k * {step}) AS window_start"
+    )
+    merged = expanded.groupBy("window_start", "user_id").agg(
+        *[F.expr(f"{_PANE_MERGE[m]}({m})").alias(m) for m in profile.metrics]
+    )
+    return merged.selectExpr(
+        "window_start",
+        f"timestamp_micros(unix_micros(window_start) + {per_pane * step}) AS window_end",
+        "user_id",
+        *profile.metrics,
+    )
+
 
 def window_metrics(
     df: DataFrame,
@@ -76,6 +135,10 @@ def window_metrics(
     ``watermark=True`` uses the profile's delay, a string overrides it, ``False``/``None``
     disables it (streaming state would then grow without bound).
     """
+    duration = window or profile.window
+    per_pane = _pane_plan_applies(df, profile, duration, slide)
+    if per_pane:
+        return _sliding_by_panes(df, profile, duration, slide, per_pane)
     return _grouped(df, profile, window, slide, watermark).selectExpr(*_FLAT, *profile.metrics)
 
 
@@ -87,6 +150,11 @@ def aggregate(
     watermark: str | None | bool = True,
 ) -> DataFrame:
     """Window metrics plus one indicator per rule and the profile's flag column."""
+    duration = window or profile.window
+    per_pane = _pane_plan_applies(df, profile, duration, slide)
+    if per_pane:
+        metrics = _sliding_by_panes(df, profile, duration, slide, per_pane)
+        return metrics.selectExpr("*", *rule_columns_sql(profile))
     grouped = _grouped(df, profile, window, slide, watermark)
     return grouped.selectExpr(*_FLAT, *profile.metrics, *rule_columns_sql(profile))
 
