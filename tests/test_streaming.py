@@ -211,3 +211,15 @@ def test_streaming_quarantine_routes_once(spark, tmp_path):
     assert sorted(r.reject_reason for r in bad.collect()) == [
         "BAD_TIMESTAMP", "MALFORMED_JSON", "MISSING_FIELD:user_id,amount,timestamp",
     ]
+
+
+def test_state_partitions_fixed_per_query(spark, tmp_path):
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    write_file(src, "a.json", [payload("1", "u1", "12:00:00", 2500.0)], 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = start_hot(txn_stream(spark, src), anomaly_table(str(tmp_path / "hot")), ANOMALY, available_now=True, state_partitions=3)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    ops = [op for p in q.recentProgress for op in p.get("stateOperators", [])]
+    assert ops and all(op["numShufflePartitions"] == 3 for op in ops)

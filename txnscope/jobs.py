@@ -42,6 +42,8 @@ def _add_source(p: argparse.ArgumentParser) -> None:
     p.add_argument("--source-path", default=None, help="folder for file sources")
     p.add_argument("--option", action="append", help="source option key=value (repeatable)")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    p.add_argument("--state-partitions", type=int, default=None,
+                   help="state-store partitions, fixed at the first start (e.g. 400)")
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -89,10 +91,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         profile = ANOMALY.with_window(args.window)
         roots = PipelineRoots(hot=args.hot, cold=args.lake, cold_checkpoint=args.lake_checkpoint)
         run_both(spark, lambda s: transaction_stream(s, args.source, **_source_kwargs(args)), roots, profile,
-                 available_now=args.available_now)
+                 available_now=args.available_now, state_partitions=args.state_partitions)
     elif args.job == "fraud":
         q = start_fraud_hot(transaction_stream(spark, args.source, **_source_kwargs(args)), fraud_table(args.table),
-                            FRAUD.with_window(args.window), available_now=args.available_now, query_name="fraud_hot")
+                            FRAUD.with_window(args.window), available_now=args.available_now, query_name="fraud_hot",
+                            state_partitions=args.state_partitions)
         q.awaitTermination()
     elif args.job == "report":
         cold = read_cold(spark, args.lake)

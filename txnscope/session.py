@@ -71,6 +71,9 @@ CLUSTER_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.metricsEnabled": "true",
 }
+# State-store partitions for streaming queries (``state_partitions=`` of the start_*
+# functions): sized for the state (open windows x users), not for batch scans.
+STREAMING_STATE_PARTITIONS = 400
 
 
 def pin_utc(spark: SparkSession) -> None:

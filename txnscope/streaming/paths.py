@@ -10,6 +10,8 @@ for tests and backfills (process what is there, then stop).
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -27,6 +29,28 @@ def _trigger(writer: DataStreamWriter, interval: str, available_now: bool) -> Da
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
+@contextmanager
+def _shuffle_partitions(spark, n: int | None):
+    """Shuffle (= state store) partitions for a query being started.
+
+    A stateful query fixes its state partition count at its first start (later starts
+    read it from the checkpoint). Batch jobs want thousands of shuffle partitions at 100 TB,
+    but a 10-second micro-batch with thousands of state-store tasks is mostly overhead,
+    so streaming queries take their own count. The session setting is restored after
+    ``start()``; the running query keeps its own copy.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def observe_windows(windows: DataFrame, profile: RuleProfile) -> DataFrame:
     """Per-batch counts of emitted and flagged windows, reported with each progress event
     (``observedMetrics['<profile>_windows']``) without a second pass over the batch."""
@@ -54,6 +78,7 @@ def start_hot(
     available_now: bool = False,
     trigger: str = HOT_TRIGGER,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Rule set A hot path: update-mode windowed aggregate -> flagged records -> keyed log.
 
@@ -73,7 +98,8 @@ def start_hot(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, trigger, available_now).start()
+    with _shuffle_partitions(txns.sparkSession, state_partitions):
+        return _trigger(writer, trigger, available_now).start()
 
 
 def start_fraud_hot(
@@ -85,6 +111,7 @@ def start_fraud_hot(
     available_now: bool = False,
     trigger: str = HOT_TRIGGER,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Rule set B hot path: every updated window -> aggregate log (one write per batch).
 
@@ -103,7 +130,8 @@ def start_fraud_hot(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, trigger, available_now).start()
+    with _shuffle_partitions(txns.sparkSession, state_partitions):
+        return _trigger(writer, trigger, available_now).start()
 
 
 def start_final(
@@ -116,6 +144,7 @@ def start_final(
     available_now: bool = False,
     trigger: str = HOT_TRIGGER,
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Sealed windows only: append mode emits each flagged window once, after the
     watermark passes its end, into a Parquet folder (no upsert needed)."""
@@ -129,7 +158,8 @@ def start_final(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    return _trigger(writer, trigger, available_now).start()
+    with _shuffle_partitions(txns.sparkSession, state_partitions):
+        return _trigger(writer, trigger, available_now).start()
 
 
 def start_cold(

@@ -31,6 +31,7 @@ def run_both(
     profile: RuleProfile = ANOMALY,
     available_now: bool = False,
     wait: bool = True,
+    state_partitions: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start cold then hot path over ``source(spark)`` (a streaming frame of parsed
     transactions). With ``wait`` the call blocks until either query terminates (both,
@@ -38,7 +39,10 @@ def run_both(
     # Forget queries that ended earlier in this session, or the wait below returns at once.
     spark.streams.resetTerminated()
     cold = start_cold(source(spark), roots.cold, roots.cold_checkpoint, available_now=available_now, query_name="cold_path")
-    hot = start_hot(source(spark), anomaly_table(roots.hot), profile, available_now=available_now, query_name="hot_path")
+    hot = start_hot(
+        source(spark), anomaly_table(roots.hot), profile, available_now=available_now, query_name="hot_path",
+        state_partitions=state_partitions,
+    )
     if wait:
         if available_now:  # both finish by themselves: wait for both
             cold.awaitTermination()
