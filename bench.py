@@ -3,7 +3,7 @@ local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is built and fully executed into the ``noop`` sink (no collect to the driver).
 Three passes over the query list: one cold run each, one untimed warm-up run each, then
-``$BENCH_REPEAT`` (default 5) timed runs each; the per-query figure is the warm median.
+``$BENCH_REPEAT`` (default 3) timed runs each; the per-query figure is the warm median.
 Streaming queries include their availableNow run and table writes.
 """
 
@@ -44,7 +44,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     scratch = tempfile.mkdtemp(prefix="txnscope-bench-")
     spark = build_session(
