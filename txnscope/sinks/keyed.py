@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from txnscope.session import shared_root
+
 BATCH = "batch_id"
 
 
@@ -146,6 +148,7 @@ class KeyedTable:
         if not ids:
             return None
         upto = ids[-1]
+        shared_root(spark)  # the reliable checkpoint below needs the shared folder set
         covered = self.log_rows(spark).where(F.col(BATCH) <= F.lit(upto))
         snapshot = _live(_latest(covered, self.key), self.ttl_column, as_of).checkpoint(eager=True)
         self.write_batch(snapshot, upto)
