@@ -13,7 +13,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -46,12 +45,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
-    scratch = tempfile.mkdtemp(prefix="txnscope-bench-")
+    # Scratch output goes under the session's spark.checkpoint.dir (see session.shared_root).
     spark = build_session(
         f"local[{cpus}]",
         app_name="txnscope-bench",
         shuffle_partitions=cpus,
-        extra={"spark.checkpoint.dir": scratch, "spark.driver.memory": "8g"},
+        extra={"spark.driver.memory": "8g"},
     )
 
     def run(name: str) -> float:

@@ -16,13 +16,10 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = build_session(
-        "local[*]",
-        app_name="txnscope-tests",
-        shuffle_partitions=8,
-        extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))},
-    )
+def spark():
+    # The checkpoint folder comes from the environment's Spark defaults when it names one;
+    # otherwise txnscope.session.shared_root creates a private folder (local master only).
+    session = build_session("local[*]", app_name="txnscope-tests", shuffle_partitions=8)
     yield session
     session.stop()
 

@@ -63,6 +63,15 @@ LIVE_AS_OF = "2024-02-15 00:00:00"
 SLIDING_WINDOW, SLIDING_SLIDE = "5 minutes", "1 minute"
 
 
+def _state_partitions(spark: SparkSession) -> int | None:
+    """State partitions for the catalogue's streaming runs: the session's parallelism
+    (a full-table replay), not the batch shuffle-partition setting."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no driver-side context: keep the session setting
+        return None
+
+
 def for_compare(df: DataFrame, ntz: tuple[str, ...] = (), joined: tuple[str, ...] = ()) -> DataFrame:
     """Timestamps -> TIMESTAMP_NTZ (UTC wall time), string arrays -> comma-joined text."""
     changes = {c: F.col(c).cast("timestamp_ntz") for c in ntz}
@@ -280,7 +289,10 @@ def q_stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     table = anomaly_table(scratch_path(spark, "stream-hot"))
     txns = events_as_transactions(read_events_stream(spark, sf_dir))
-    q = start_hot(txns, table, ANOMALY, window=DAY, as_of="window_end", available_now=True)
+    q = start_hot(
+        txns, table, ANOMALY, window=DAY, as_of="window_end", available_now=True,
+        state_partitions=_state_partitions(spark),
+    )
     q.awaitTermination()
     return for_compare(table.latest(spark), joined=("anomaly_flags",))
 
@@ -290,7 +302,8 @@ def q_stream_anomalies_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-final")
     txns = events_as_transactions(read_events_stream(spark, sf_dir))
     q = start_final(
-        txns, f"{root}/table", f"{root}/checkpoint", ANOMALY, window=DAY, as_of="window_end", available_now=True
+        txns, f"{root}/table", f"{root}/checkpoint", ANOMALY, window=DAY, as_of="window_end", available_now=True,
+        state_partitions=_state_partitions(spark),
     )
     q.awaitTermination()
     return for_compare(spark.read.schema(ANOMALY_RECORD).parquet(f"{root}/table"), joined=("anomaly_flags",))
@@ -300,7 +313,10 @@ def q_stream_fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     table = fraud_table(scratch_path(spark, "stream-fraud"))
     txns = events_as_transactions(read_events_stream(spark, sf_dir))
-    q = start_fraud_hot(txns, table, FRAUD, window=DAY, as_of="window_end", available_now=True)
+    q = start_fraud_hot(
+        txns, table, FRAUD, window=DAY, as_of="window_end", available_now=True,
+        state_partitions=_state_partitions(spark),
+    )
     q.awaitTermination()
     return for_compare(fraud_alerts(table.latest(spark)), joined=("fraud_flags",))
 
