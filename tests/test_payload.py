@@ -122,3 +122,13 @@ def test_kafka_style_envelope(spark):
     (r2,) = quarantined_payloads(classify_payloads(to_envelope(spark.createDataFrame([(NOT_JSON, ARRIVAL)], "value string, timestamp timestamp")))).collect()
     assert r2.reject_reason == "MALFORMED_JSON"
 
+
+
+def test_window_path_parses_json_once(spark):
+    """The window's NOT NULL event-time filter must not re-parse the payload."""
+    from txnscope.config import ANOMALY
+    from txnscope.operators.windows import aggregate
+
+    env = envelope(spark, [OK, EXTRA_KEY, NOT_JSON])
+    plan = aggregate(decode_payload(env), ANOMALY, "1 minute")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -31,6 +31,7 @@ BAD_FIELD_TYPE = "BAD_FIELD_TYPE"
 MISSING_FIELD = "MISSING_FIELD"
 BAD_TIMESTAMP = "BAD_TIMESTAMP"
 QUALITY_METRICS = "payload_quality"
+DECODE_METRICS = "decoded_payloads"
 STATUS_VALID = "valid"
 STATUS_REJECTED = "rejected"
 
@@ -60,14 +61,26 @@ _PAYLOAD_CORRUPT_DDL = PAYLOAD_WITH_CORRUPT.simpleString()
 _TEXT = "CAST(data AS STRING)"
 
 
-def decode_payload(envelope: DataFrame) -> DataFrame:
-    """Envelope -> parsed transactions (keeps malformed rows as NULLs, like the source job)."""
+def decode_payload(envelope: DataFrame, metrics_name: str = DECODE_METRICS) -> DataFrame:
+    """Envelope -> parsed transactions (keeps malformed rows as NULLs, like the source job).
+
+    The observation counts payloads and those without a usable event time per batch (the
+    windowed aggregation ignores the latter). It is also a plan boundary: windowing adds an
+    ``event_timestamp IS NOT NULL`` filter that Catalyst would otherwise push below this
+    projection with ``from_json`` inlined, parsing every record twice. Give each decode a
+    distinct ``metrics_name`` when two are combined in one query.
+    """
     parsed = envelope.selectExpr(f"from_json({_TEXT}, '{_PAYLOAD_DDL}') AS txn", "arrival_time")
-    return parsed.selectExpr(
+    decoded = parsed.selectExpr(
         *[f"txn.{f} AS {f}" for f in ("transaction_id", "user_id", "amount", "merchant")],
         "arrival_time",
         "try_to_timestamp(txn.timestamp) AS event_timestamp",
     )
+    return decoded.observe(
+        metrics_name,
+        F.count(F.lit(1)).alias("payloads"),
+        F.count_if(F.col("event_timestamp").isNull()).alias("no_event_time"),
+    )
 
 
 def with_category(df: DataFrame) -> DataFrame:
