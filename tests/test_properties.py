@@ -171,3 +171,47 @@ def test_quarantine_reasons_match_model(spark, payloads):
     got = [(r.raw, r.reject_reason) for r in classify_payloads(env).collect()]
     want = [(t, _expected_reason(p)) for t, p in zip(texts, payloads)]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+# --------------------------------------------------------------------------- serving feed
+LOOSE_RECORDS = (
+    "transaction_id STRING, user_id STRING, window_start STRING, window_end STRING, transaction_count STRING, "
+    "max_amount STRING, anomaly_flags ARRAY<STRING>, is_anomaly BOOLEAN, detected_at STRING, ttl BIGINT"
+)
+record_strategy = st.tuples(
+    st.sampled_from(["u1", "u2", "u3"]),
+    st.integers(0, 59),  # window minute
+    st.sampled_from(["4", "12", "x", None]),  # count text
+    st.sampled_from(["2500.00", "1.5", "n/a", None]),  # amount text
+    st.sampled_from([True, False, None]),
+    st.one_of(st.integers(0, 20), st.sampled_from(["bad", None])),  # detection minute or junk
+)
+
+
+def _num(text, kind):
+    try:
+        return kind(text) if text is not None else None
+    except ValueError:
+        return None
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(records=st.lists(record_strategy, max_size=70, unique_by=lambda r: (r[0], r[1])))
+def test_serving_feed_matches_model(spark, records):
+    from txnscope.operators.serving import serving_feed
+
+    rows, model_rows = [], []
+    for user, minute, count, amount, flagged, detected in records:
+        start = f"2024-01-01T10:{minute:02d}:00"
+        det = f"2024-01-02T00:{detected:02d}:00+00:00" if isinstance(detected, int) else detected
+        tid = f"{user}#{start}"
+        rows.append((tid, user, start, start, count, amount, ["HIGH_AMOUNT"], flagged, det, 0))
+        if flagged:
+            det_ts = datetime(2024, 1, 2, 0, detected) if isinstance(detected, int) else None
+            model_rows.append((det_ts, tid, user, _num(count, int), _num(amount, float)))
+    # newest first, unparsable times last, then by key; at most 50
+    model_rows.sort(key=lambda r: (r[0] is None, -(r[0].timestamp()) if r[0] else 0, r[1]))
+    want = [(r[0], r[2], r[3], r[4]) for r in model_rows[:50]]
+    df = serving_feed(spark.createDataFrame(rows, LOOSE_RECORDS))
+    got = [(r.detected_at, r.user_id, r.transaction_count, r.max_amount) for r in df.collect()]
+    assert got == want  # the feed comes back newest first
