@@ -215,3 +215,39 @@ def test_serving_feed_matches_model(spark, records):
     df = serving_feed(spark.createDataFrame(rows, LOOSE_RECORDS))
     got = [(r.detected_at, r.user_id, r.transaction_count, r.max_amount) for r in df.collect()]
     assert got == want  # the feed comes back newest first
+
+
+# ------------------------------------------------------------------ keyed latest-wins
+batch_strategy = st.dictionaries(st.sampled_from(["a", "b", "c", "d"]), st.integers(1, 99), min_size=1, max_size=4)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    batches=st.lists(batch_strategy, min_size=1, max_size=5),
+    replay=st.booleans(),
+    compact_after=st.one_of(st.none(), st.integers(0, 4)),
+)
+def test_keyed_table_matches_latest_wins_model(spark, batches, replay, compact_after):
+    import uuid
+    from decimal import Decimal
+
+    from txnscope.schemas import ANOMALY_RECORD
+    from txnscope.session import shared_root
+    from txnscope.sinks.keyed import KeyedTable
+
+    table = KeyedTable(root=f"{shared_root(spark)}/prop-{uuid.uuid4().hex}", key=("transaction_id",), schema=ANOMALY_RECORD)
+
+    def write(batch_id, batch):
+        rows = [(k, "u", "s", "e", v, Decimal("1.00"), ["X"], True, "t", 4_000_000_000) for k, v in batch.items()]
+        table.write_batch(spark.createDataFrame(rows, ANOMALY_RECORD), batch_id)
+
+    model = {}
+    for batch_id, batch in enumerate(batches):
+        write(batch_id, batch)
+        model.update(batch)
+        if replay:  # a retried micro-batch writes the same rows again
+            write(batch_id, batch)
+        if compact_after == batch_id:
+            table.compact(spark, "2024-01-01 00:00:00")
+    got = {r.transaction_id: r.transaction_count for r in table.latest(spark).collect()}
+    assert got == model
