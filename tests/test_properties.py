@@ -251,3 +251,32 @@ def test_keyed_table_matches_latest_wins_model(spark, batches, replay, compact_a
             table.compact(spark, "2024-01-01 00:00:00")
     got = {r.transaction_id: r.transaction_count for r in table.latest(spark).collect()}
     assert got == model
+
+
+# ------------------------------------------------------------------------ cold lake
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    times=st.lists(
+        st.one_of(
+            st.none(),
+            st.datetimes(min_value=datetime(2023, 12, 31, 23, 0), max_value=datetime(2024, 3, 1, 1, 0)),
+            st.sampled_from([datetime(2023, 12, 31, 23, 59, 59, 999999), datetime(2024, 1, 1), datetime(2024, 2, 29, 23, 59)]),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_cold_partitions_match_calendar(spark, times):
+    import uuid
+    from collections import Counter
+
+    from txnscope.operators.analytics import partition_counts
+    from txnscope.session import shared_root
+    from txnscope.sinks.lake import read_cold, write_cold
+
+    rows = [(str(i), "u", 1.0, "m", None, t, t) for i, t in enumerate(times)]
+    path = f"{shared_root(spark)}/prop-cold-{uuid.uuid4().hex}"
+    write_cold(spark.createDataFrame(rows, TRANSACTION), path)
+    got = {(r.year, r.month, r.day): r.txn_count for r in partition_counts(read_cold(spark, path)).collect()}
+    want = Counter((t.year, t.month, t.day) if t else (None, None, None) for t in times)
+    assert got == dict(want)
