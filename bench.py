@@ -2,8 +2,9 @@
 local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is built and fully executed into the ``noop`` sink (no collect to the driver).
-Three passes over the query list: one cold run each, one untimed warm-up run each, then
-``$BENCH_REPEAT`` (default 3) timed runs each; the per-query figure is the warm median.
+Three passes over the query list: one cold run each, one untimed warm-up run each, then per
+query a JVM GC, one more untimed run and ``$BENCH_REPEAT`` (default 3) timed runs; the
+per-query figure is the warm median.
 Streaming queries include their availableNow run and table writes.
 """
 
@@ -66,11 +67,15 @@ def main() -> None:
 
     # Pass 1: cold run of every query (class loading, first file listings, codegen).
     # Pass 2: one untimed run of every query (JIT warms the shared engine paths).
-    # Pass 3: BENCH_REPEAT timed runs per query; the figure is their median.
+    # Pass 3: per query, GC + one untimed run, then BENCH_REPEAT timed runs (median).
     cold = {name: run(name) for name in names}
     for name in names:
         run(name)
-    warm = {name: statistics.median(run(name) for _ in range(repeat)) for name in names}
+    warm = {}
+    for name in names:
+        spark.sparkContext._jvm.System.gc()  # start each query's timing from a collected heap
+        run(name)  # re-warm this query after the others ran
+        warm[name] = statistics.median(run(name) for _ in range(repeat))
     spark.stop()
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(
