@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscope.llm import bpe, rules, wordpiece
+from txnscope.llm import bpe, packing, rules, suffix, wordpiece
 from txnscope.llm.text import read_table
 
 
@@ -29,11 +29,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(read_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_bytes(read_table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe,
         op2_token_counts,
         op6_quality_rules,
+        op8_suffix_dedup,
+        op9_packing,
     )
 }

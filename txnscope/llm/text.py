@@ -7,9 +7,12 @@ columns of the input, whatever their names, therefore cannot clash with a result
 from __future__ import annotations
 
 import re
+import tempfile
 import unicodedata
+import zipfile
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +23,24 @@ WORD_BREAKS = r"[\x20\x09-\x0D]+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, once, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_txnscope_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="txnscope-code-")) / "txnscope_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._txnscope_shipped = True
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """``doc_id`` (bigint) and ``text`` (string, null becomes the empty string)."""
     return docs.select(
