@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscope.llm import bpe, packing, rules, suffix, wordpiece
+from txnscope.llm import bpe, jaccard, packing, rules, suffix, wordpiece
 from txnscope.llm.text import read_table
 
 
@@ -25,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(spark, read_table(spark, sf_dir, "documents"), *pieces)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_bpe,
         op2_token_counts,
+        op4_ngram_jaccard,
         op6_quality_rules,
         op8_suffix_dedup,
         op9_packing,
