@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscope.llm import bpe, jaccard, packing, rules, suffix, wordpiece
+from txnscope.llm import bpe, jaccard, packing, pii, rules, suffix, wordpiece
 from txnscope.llm.text import read_table
 
 
@@ -29,6 +29,10 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bpe,
         op2_token_counts,
         op4_ngram_jaccard,
+        op5_personal_data,
         op6_quality_rules,
         op8_suffix_dedup,
         op9_packing,
