@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscope.llm import bpe, jaccard, packing, pii, rules, suffix, wordpiece
+from txnscope.llm import bpe, credentials, jaccard, packing, pii, quality, rules, suffix, wordpiece
 from txnscope.llm.text import read_table
 
 
@@ -25,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(spark, read_table(spark, sf_dir, "documents"), *pieces)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secrets(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(read_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.repeated_bytes(read_table(spark, sf_dir, "documents"))
 
@@ -50,9 +58,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_bpe,
         op2_token_counts,
+        op3_secrets,
         op4_ngram_jaccard,
         op5_personal_data,
         op6_quality_rules,
+        op7_quality_classifier,
         op8_suffix_dedup,
         op9_packing,
     )
