@@ -17,8 +17,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from txnscope.llm.text import documents, text_blocks
 from txnscope.session import scratch_path
@@ -305,20 +306,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().write.parquet(path)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """Per row of the table: doc_id, class_id, n_links, n_copies.
-
-    ``n_links`` counts the other rows whose shingle set has Jaccard similarity >= threshold with this row's,
-    copies with the same words included (``n_copies`` counts these and the row itself). ``class_id`` is the
-    smallest doc_id of the connected component of links (null if all its ids are null). Texts of fewer than
-    five words have one shingle, all their words; texts without words (null, empty, white space) are linked to
-    nothing and are their own class. Rows that repeat an id are rows of their own.
-    """
+def _linked_classes(spark: SparkSession, docs: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, key), classes of equal words (key, copies, doc_id), links per key, and (node, root) per linked key."""
     path = scratch_path(spark, "signatures")
     _signatures(docs).write.parquet(path)
     rows = spark.read.parquet(path)
-    worded = rows.where("key IS NOT NULL")
-    classes = worded.groupBy("key").agg(
+    classes = rows.where("key IS NOT NULL").groupBy("key").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")
     )
     path = scratch_path(spark, "classes")
@@ -338,7 +331,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     links = spark.read.parquet(path)
     total = links.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(spark, links.select(F.col("key").alias("u"), F.col("root").alias("v")))
+    return rows, classes, total, roots
 
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """Per row of the table: doc_id, class_id, n_links, n_copies.
+
+    ``n_links`` counts the other rows whose shingle set has Jaccard similarity >= threshold with this row's,
+    copies with the same words included (``n_copies`` counts these and the row itself). ``class_id`` is the
+    smallest doc_id of the connected component of links (null if all its ids are null). Texts of fewer than
+    five words have one shingle, all their words; texts without words (null, empty, white space) are linked to
+    nothing and are their own class. Rows that repeat an id are rows of their own.
+    """
+    rows, classes, total, roots = _linked_classes(spark, docs, threshold, tolerance)
+    worded = rows.where("key IS NOT NULL")
     linked = classes.select("key", "copies", "doc_id").join(total, "key").join(roots.withColumnRenamed("node", "key"), "key")
     smallest = linked.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     linked = linked.join(smallest, "root").select("key", "links", "class_id")
@@ -355,6 +361,37 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     return answer.unionByName(none)
 
 
+def one_per_class(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """The documents, all columns, that stay when each class of :func:`near_duplicates` keeps one.
+
+    The row with the class's smallest doc_id stays (a null doc_id counts as larger than all others; rows that
+    repeat an id and its words leave one row). Texts without words all stay.
+    """
+    _, classes, _, roots = _linked_classes(spark, docs, threshold, tolerance)
+    linked = classes.select("key", "doc_id").join(roots.withColumnRenamed("node", "key"), "key")
+    first = linked.groupBy("root").agg(F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("key"))
+    lost = linked.select("key").join(first.select("key"), "key", "left_anti")
+    stay = classes.select("key", "doc_id").join(lost, "key", "left_anti").select(_tag("key", "doc_id"))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).field("text").to_pylist()
+            found = [key_of((t or "").encode().split()) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["row", "key"])
+
+    # the nested row keeps its columns apart from the ones added here
+    schema = StructType([StructField("row", docs.schema), StructField("key", BinaryType())])
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).mapInArrow(keys, schema)
+    # one row per (words, id): sorted and reduced before the shuffle, so a hot group never reaches one task
+    worded = keyed.where("key IS NOT NULL").select("row", _tag("key", F.col("row.doc_id").cast("bigint"))).dropDuplicates(["tag"])
+    kept = worded.join(stay, "tag", "left_semi")
+    return kept.select("row.*").unionByName(keyed.where("key IS NULL").select("row.*"))
+
+
+def _tag(key: str, doc_id) -> Column:
+    return F.concat_ws(":", F.hex(key), F.col(doc_id) if isinstance(doc_id, str) else doc_id).alias("tag")
+
+
 def _keyed_texts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnscope.llm.text import WORD_BREAKS
+from txnscope.session import scratch_path
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -150,6 +151,12 @@ def verdicts(docs: DataFrame, version: str = CURRENT) -> DataFrame:
     )
 
 
-def kept_documents(docs: DataFrame, version: str = CURRENT) -> DataFrame:
-    """The rows that the policy keeps, with all their columns unchanged."""
-    return ledger(docs, docs.columns).where(~rejects(policy(version))).select("row.*")
+def kept_documents(spark: SparkSession, docs: DataFrame, version: str = CURRENT) -> DataFrame:
+    """The rows that the policy keeps, with all their columns unchanged.
+
+    The ledger is stored in the shared folder first. Read back, its bits are a column to filter by; without the
+    table, the optimizer would push the filter below the measurements and evaluate these once more for every use.
+    """
+    path = scratch_path(spark, "ledger")
+    ledger(docs, docs.columns).select("row", "fail_bits").write.parquet(path)
+    return spark.read.parquet(path).where(~rejects(policy(version))).select("row.*")
