@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscope.llm import bpe, credentials, jaccard, packing, pii, quality, rules, suffix, wordpiece
+from txnscope.llm import bpe, credentials, jaccard, neighbours, packing, pii, quality, rules, suffix, wordpiece
 from txnscope.llm.text import read_table
 
 
@@ -53,6 +53,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -65,5 +69,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_quality_classifier,
         op8_suffix_dedup,
         op9_packing,
+        op10_nearest_neighbours,
     )
 }
