@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnscope.llm.text import WORD_BREAKS
@@ -137,12 +137,23 @@ def policy(version: str) -> int:
     return POLICIES["base"] | POLICIES[version]
 
 
+def stored_ledger(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """The ledger as a table in the shared folder.
+
+    Read back, its bits and measurements are columns to filter by. Without the table, the optimizer would push a
+    filter below the measurements and evaluate these once more for every use.
+    """
+    path = scratch_path(docs.sparkSession, "ledger")
+    ledger(docs, carry).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def verdicts(docs: DataFrame, version: str = CURRENT) -> DataFrame:
     """One row per row of the table: doc_id, the ledger, ``base_failed`` and ``kept``.
 
     Null and empty texts have no words and fail the first rule. Repeated rows each get a row.
     """
-    return ledger(docs, ["doc_id"]).select(
+    return stored_ledger(docs, ["doc_id"]).select(
         F.col("row.doc_id").cast("bigint").alias("doc_id"),
         *MEASURES,
         "fail_bits",
@@ -151,12 +162,6 @@ def verdicts(docs: DataFrame, version: str = CURRENT) -> DataFrame:
     )
 
 
-def kept_documents(spark: SparkSession, docs: DataFrame, version: str = CURRENT) -> DataFrame:
-    """The rows that the policy keeps, with all their columns unchanged.
-
-    The ledger is stored in the shared folder first. Read back, its bits are a column to filter by; without the
-    table, the optimizer would push the filter below the measurements and evaluate these once more for every use.
-    """
-    path = scratch_path(spark, "ledger")
-    ledger(docs, docs.columns).select("row", "fail_bits").write.parquet(path)
-    return spark.read.parquet(path).where(~rejects(policy(version))).select("row.*")
+def kept_documents(docs: DataFrame, version: str = CURRENT) -> DataFrame:
+    """The rows that the policy keeps, with all their columns unchanged."""
+    return stored_ledger(docs, docs.columns).where(~rejects(policy(version))).select("row.*")
