@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from txnscope.operators.analytics import high_value_txns, partition_counts, top_users
 from txnscope.sinks.lake import cold_range, read_cold, register_table, write_cold
 
@@ -85,3 +87,19 @@ def test_overwrite_replaces_only_present_days(spark, tmp_path):
     write_cold(rerun, path, mode="overwrite")
     write_cold(rerun, path, mode="overwrite")  # a second re-run changes nothing
     assert sorted(r.transaction_id for r in read_cold(spark, path).collect()) == ["1", "3"]
+
+
+def test_compact_days_refuses_part_of_a_day(spark, tmp_path):
+    from txnscope.sinks.lake import compact_days
+
+    with pytest.raises(ValueError, match="whole days"):
+        compact_days(spark, str(tmp_path / "src"), str(tmp_path / "dst"), "2024-01-01", "2024-01-02 12:00:00")
+
+
+def test_merchants_by_year_cover_all_its_months(spark):
+    from txnscope.operators.analytics import top_merchants
+    from txnscope.sinks.lake import with_partition_columns
+
+    rows = [("a", "u", 1.0, "2023-12-31 00:00:00"), ("b", "u", 2.0, "2024-01-05 00:00:00"), ("c", "u", 4.0, "2024-07-05 00:00:00")]
+    found = top_merchants(with_partition_columns(txn_frame(spark, rows)), year=2024).collect()
+    assert [(r.txn_count, r.max_amount) for r in found] == [(2, 4.0)]

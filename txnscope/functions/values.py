@@ -40,8 +40,8 @@ def iso_utc_sql(c: str) -> str:
 
 
 def money_sql(c: str) -> str:
-    """Amount as DECIMAL(18,2), rounded half-up (2.675 -> 2.68)."""
-    return f"CAST({c} AS {MONEY_SQL})"
+    """Amount as DECIMAL(18,2), rounded half-up (2.675 -> 2.68); null if it does not fit or is not a number."""
+    return f"TRY_CAST({c} AS {MONEY_SQL})"
 
 
 def user_key_sql(user: str) -> str:

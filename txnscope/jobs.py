@@ -103,7 +103,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             "high_value_txns": analytics.high_value_txns(cold, year=args.year, month=args.month),
             "top_users": analytics.top_users(cold, year=args.year, month=args.month),
             "hourly_volume": analytics.hourly_volume(cold, year=args.year, month=args.month),
-            "top_merchants": analytics.top_merchants(cold, year=args.year, month=args.month),
+            "top_merchants": analytics.top_merchants(cold, year=args.year),
         }
         for name, df in reports.items():
             df.write.mode("overwrite").parquet(f"{args.out}/{name}")

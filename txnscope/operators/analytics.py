@@ -22,8 +22,10 @@ TOP_MERCHANTS_LIMIT = 20
 def _period(df: DataFrame, year: int | None, month: int | None) -> DataFrame:
     if year is None and month is None:
         return df
-    if year is None or month is None:
-        raise ValueError("give both year and month, or neither")
+    if year is None:
+        raise ValueError("a month needs its year")
+    if month is None:
+        return df.filter(F.col("year") == F.lit(year))
     return in_month(df, year, month)
 
 

@@ -186,7 +186,7 @@ def q_hourly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_top_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.top_merchants(cold_table(spark, sf_dir), year=REPORT_YEAR, month=REPORT_MONTH)
+    return analytics.top_merchants(cold_table(spark, sf_dir), year=REPORT_YEAR)
 
 
 def q_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

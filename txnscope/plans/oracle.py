@@ -255,7 +255,7 @@ ORACLE: dict[str, str] = {
     f"round(sum(amount), 2) AS total_amount FROM txn WHERE {MONTH} GROUP BY 1 ORDER BY 1",
     "top_merchants": _with(TXN)
     + "SELECT merchant, count(*) AS txn_count, round(avg(amount), 2) AS avg_amount, max(amount) AS max_amount "
-    f"FROM txn WHERE {MONTH} GROUP BY merchant ORDER BY txn_count DESC, merchant LIMIT 20",
+    f"FROM txn WHERE year(event_timestamp) = 2024 GROUP BY merchant ORDER BY txn_count DESC, merchant LIMIT 20",
     "stream_stats": _with(TXN)
     + f"SELECT count(*) AS total_sent, count(*) FILTER (WHERE amount > {_A_AMOUNT}) AS total_anomalies, "
     f"round(100.0 * count(*) FILTER (WHERE amount > {_A_AMOUNT}) / count(*), 2) AS pct_anomalies FROM txn",

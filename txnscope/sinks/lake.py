@@ -10,7 +10,7 @@ funnelled into one writer; ``max_records_per_file`` bounds file size.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,8 +129,12 @@ def compact_days(
 
     Streaming triggers leave many small files per day. The copy is range-partitioned on
     (date, event time) so a day with a third of all rows is split over many tasks by
-    sampled boundaries rather than hashed into one.
+    sampled boundaries rather than hashed into one. Only whole days are taken: a bound inside a
+    day would replace that day's partition at ``target`` by a part of it.
     """
+    for bound in (start, end):
+        if datetime.fromisoformat(str(bound)).time() != time.min:
+            raise ValueError(f"compaction takes whole days, not {bound}")
     rows = cold_range(read_cold(spark, path), start, end)
     # Range partitions sized by AQE (advisory partition size), not a fixed count.
     laid_out = rows.repartitionByRange(*PARTITION_COLUMNS, "event_timestamp")

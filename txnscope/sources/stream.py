@@ -36,7 +36,6 @@ def raw_stream(
     reader = spark.readStream.format(fmt)
     if fmt == KAFKA:
         opts.setdefault("startingOffsets", starting)
-        opts.setdefault("failOnDataLoss", "false")
     for key, value in opts.items():
         reader = reader.option(key, value)
     raw = reader.load(path) if path else reader.load()
