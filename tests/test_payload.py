@@ -132,3 +132,22 @@ def test_window_path_parses_json_once(spark):
     env = envelope(spark, [OK, EXTRA_KEY, NOT_JSON])
     plan = aggregate(decode_payload(env), ANOMALY, "1 minute")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_amounts_that_do_not_fit(spark):
+    text = '{"transaction_id":"%s","user_id":"u1","amount":%s,"timestamp":"2026-05-28T12:00:00Z"}'
+    env = envelope(spark, [text % (i, a) for i, a in enumerate(["1e20", "NaN", "-Infinity", "9999999999999998"])])
+    got = {r.transaction_id: r.reject_reason for r in classify_payloads(env).collect()}
+    assert got == {"0": "BAD_AMOUNT", "1": "BAD_AMOUNT", "2": "BAD_AMOUNT", "3": None}
+    assert {r.transaction_id: r.amount for r in decode_payload(env).collect()} == {"0": None, "1": None, "2": None, "3": 9999999999999998.0}
+
+
+def test_category_reaches_the_fraud_metrics(spark):
+    from txnscope.config import FRAUD
+
+    text = '{"transaction_id":"%s","user_id":"u1","amount":1,"timestamp":"2026-05-28T12:00:00Z","merchant_category":"%s"}'
+    env = envelope(spark, [text % (i, c) for i, c in enumerate(["food", "toys", "food"])])
+    (w,) = window_metrics(decode_payload(env), FRAUD, "1 minute").collect()
+    assert w.distinct_merchant_categories == 2
+    valid = valid_payloads(classify_payloads(env))
+    assert sorted(r.merchant_category for r in valid.collect()) == ["food", "food", "toys"]

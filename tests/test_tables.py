@@ -72,3 +72,46 @@ def test_compaction_stops_at_last_committed_batch(spark, tmp_path):
     ids = sorted(r.batch_id for r in t.log_rows(spark).select("batch_id").distinct().collect())
     assert ids == [1, 2]
     assert [r.transaction_count for r in t.latest(spark).collect()] == [6]
+
+
+def test_unpublished_snapshot_is_ignored(spark, tmp_path):
+    """Compaction that ends before the success marker changes nothing; the next one takes its place."""
+    import os
+
+    t = table(tmp_path)
+    t.write_batch(frame(spark, [rec("a", 4, 2_000_000_000)]), 0)
+    t.compact(spark, "2024-02-15 00:00:00")
+    t.write_batch(frame(spark, [rec("a", 5, 2_000_000_000), rec("b", 1, 2_000_000_000)]), 1)
+    t.compact(spark, "2024-02-15 00:00:00")
+    os.remove(os.path.join(t.root, "snapshot", "1-1", "_SUCCESS"))
+    want = {"a": 5, "b": 1}
+    assert {r.transaction_id: r.transaction_count for r in t.latest(spark).collect()} == want
+    t.compact(spark, "2024-02-15 00:00:00")
+    t.compact(spark, "2024-02-15 00:00:00")
+    assert {r.transaction_id: r.transaction_count for r in t.latest(spark).collect()} == want
+    assert not os.path.exists(os.path.join(t.log, "batch_id=0"))
+
+
+def test_compaction_of_expired_rows_leaves_none(spark, tmp_path):
+    t = table(tmp_path)
+    t.write_batch(frame(spark, [rec("gone", 4, 1)]), 0)
+    t.compact(spark, "2024-02-15 00:00:00")
+    assert t.log_rows(spark).count() == 0
+
+
+def test_alerts_outlive_their_aggregates(spark, tmp_path):
+    from txnscope.config import FRAUD
+    from txnscope.operators.records import fraud_aggregates
+    from txnscope.operators.windows import aggregate
+    from txnscope.streaming.paths import fraud_table, live_alerts
+
+    from tests.conftest import txn_frame
+
+    t = fraud_table(str(tmp_path / "fraud"))
+    txns = txn_frame(spark, [("1", "u1", 5000.0, "2024-01-01 00:00:00"), ("2", "u2", 1.0, "2024-01-01 00:00:00")])
+    t.write_batch(fraud_aggregates(aggregate(txns, FRAUD), as_of="window_end"), 0)
+    t.compact(spark, "2024-01-11 00:00:00")
+    assert [r.user_id for r in t.latest(spark).collect()] == ["u1"]
+    assert t.live(spark, "2024-01-11 00:00:00").count() == 0
+    assert [r.user_id for r in live_alerts(spark, t, "2024-01-30 00:00:00").collect()] == ["u1"]
+    assert live_alerts(spark, t, "2024-02-01 00:00:00").count() == 0

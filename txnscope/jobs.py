@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from txnscope.config import ANOMALY, FRAUD  # noqa: E402
 from txnscope.operators import analytics  # noqa: E402
-from txnscope.session import pin_utc  # noqa: E402
+from txnscope.session import STREAMING_STATE_PARTITIONS, is_local, pin_utc, prepare_streaming  # noqa: E402
 from txnscope.sinks.lake import compact_days, read_cold  # noqa: E402
 from txnscope.sources.stream import transaction_stream  # noqa: E402
 from txnscope.streaming.paths import anomaly_table, fraud_table, start_fraud_hot  # noqa: E402
@@ -87,6 +87,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"txnscope-{args.job}").getOrCreate()
     pin_utc(spark)
 
+    if args.job in ("pipeline", "fraud"):
+        prepare_streaming(spark)
+        if args.state_partitions is None and not is_local(spark):
+            args.state_partitions = STREAMING_STATE_PARTITIONS
+
     if args.job == "pipeline":
         profile = ANOMALY.with_window(args.window)
         roots = PipelineRoots(hot=args.hot, cold=args.lake, cold_checkpoint=args.lake_checkpoint)
@@ -112,6 +117,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             table = fraud_table(args.table) if args.fraud else anomaly_table(args.table)
             table.compact(spark)
         if args.lake:
+            if not (args.lake_out and args.start and args.end):
+                parser.error("--lake needs --lake-out, --start and --end")
             compact_days(spark, args.lake, args.lake_out, args.start, args.end)
     elif args.job == "produce":
         options = dict(kv.split("=", 1) for kv in (args.option or []))

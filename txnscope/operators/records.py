@@ -66,13 +66,17 @@ def fraud_aggregates(windows: DataFrame, profile: RuleProfile = FRAUD, as_of: st
     )
 
 
+def alert_expiry_sql(profile: RuleProfile = FRAUD) -> str:
+    """Expiry of an alert, from that of its aggregate row."""
+    return f"ttl + {(profile.alert_ttl_days - profile.record_ttl_days) * DAY_SECONDS}"
+
+
 def fraud_alerts(aggregates: DataFrame, profile: RuleProfile = FRAUD) -> DataFrame:
     """Alerts derived from aggregate records (apply to the *latest* row per key).
 
     Deriving alerts from the newest aggregate row means an alert disappears when a later
     update (e.g. a refund) un-flags its window, instead of lingering as a stale row.
     """
-    extra_seconds = (profile.alert_ttl_days - profile.record_ttl_days) * DAY_SECONDS
     return aggregates.where(profile.flagged).selectExpr(
         "concat_ws('#', pk, sk) AS alert_id",
         "user_id",
@@ -85,5 +89,5 @@ def fraud_alerts(aggregates: DataFrame, profile: RuleProfile = FRAUD) -> DataFra
         f"{severity_sql(profile.flags_column)} AS severity",
         f"'{ALERT_STATUS_NEW}' AS status",
         "processed_at AS created_at",
-        f"ttl + {extra_seconds} AS ttl",
+        f"{alert_expiry_sql(profile)} AS ttl",
     )

@@ -28,7 +28,8 @@ EVENT_TIME = "event_timestamp"
 METRIC_SQL = {
     COUNT: "count(1)",
     MAX_AMOUNT: "max(amount)",
-    TOTAL_AMOUNT: "sum(amount)",
+    # exact decimals: a sum of doubles depends on the order of rows, and rules compare it strictly
+    TOTAL_AMOUNT: "CAST(sum(TRY_CAST(amount AS DECIMAL(28,10))) AS DOUBLE)",
     MIN_AMOUNT: "min(amount)",
     # HyperLogLog++; exact for the small per-window category counts it is used for.
     DISTINCT_CATEGORIES: "approx_count_distinct(merchant_category)",

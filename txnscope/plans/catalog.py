@@ -24,6 +24,7 @@ from txnscope.operators.records import anomaly_records, fraud_aggregates, fraud_
 from txnscope.operators.windows import aggregate
 from txnscope.schemas import ANOMALY_RECORD, PAYLOAD, PAYLOAD_FIELDS
 from txnscope.session import pin_utc, scratch_path
+from txnscope.sinks.keyed import hadoop_path
 from txnscope.sinks.lake import read_cold, write_cold
 from txnscope.sources.events import (
     events_as_transactions,
@@ -44,6 +45,7 @@ from txnscope.sources.synth import synth_transactions
 from txnscope.streaming.paths import (
     anomaly_table,
     fraud_table,
+    live_alerts,
     start_cold,
     start_final,
     start_fraud_hot,
@@ -59,6 +61,8 @@ MINUTE = "1 minute"
 REPORT_YEAR, REPORT_MONTH = 2024, 1
 # Read time of the live (unexpired) anomaly view.
 LIVE_AS_OF = "2024-02-15 00:00:00"
+# Compaction before that, when the fixture's aggregates have expired and half of its alerts have not.
+COMPACTED_AS_OF = "2024-02-12 00:00:00"
 # Sliding windows for bursts: 5 minutes long, advancing by 1 minute.
 SLIDING_WINDOW, SLIDING_SLIDE = "5 minutes", "1 minute"
 
@@ -96,12 +100,22 @@ def _fraud_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud_aggregates(aggregate(_txns(spark, sf_dir), FRAUD, DAY), FRAUD, as_of="window_end")
 
 
-# The cold table is written once per (session, folder) and reused by the analytics queries.
-_COLD_TABLES: dict[tuple[str, str], str] = {}
+# The cold table is written once per session and state of the events files, and reused by the analytics queries.
+_COLD_TABLES: dict[tuple, str] = {}
+
+
+def _files_state(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of each file under a path (metadata listing only)."""
+    p, fs = hadoop_path(spark, path)
+    files, found = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def cold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+    key = (spark.conf.get("spark.app.id", ""), _files_state(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     path = _COLD_TABLES.get(key)
     if path is not None:
         try:
@@ -145,6 +159,13 @@ def q_fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(fraud_alerts(_fraud_aggregates(spark, sf_dir)), joined=("fraud_flags",))
 
 
+def q_fraud_alerts_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = fraud_table(scratch_path(spark, "fraud"))
+    table.write_batch(_fraud_aggregates(spark, sf_dir), 0)
+    table.compact(spark, COMPACTED_AS_OF)
+    return for_compare(live_alerts(spark, table, LIVE_AS_OF), joined=("fraud_flags",))
+
+
 def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = aggregate(_txns(spark, sf_dir), ANOMALY, SLIDING_WINDOW, slide=SLIDING_SLIDE)
     return for_compare(
@@ -239,6 +260,19 @@ def q_decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(decode_payload(_envelope(spark, sf_dir)), TXN_TS)
 
 
+# Some records are damaged, by their number: cut off, without fields, with an amount that does not fit.
+DAMAGED_SQL = """CASE CAST(transaction_id AS BIGINT) % 17
+  WHEN 3 THEN left(value, 20)
+  WHEN 5 THEN concat('{"transaction_id":"', transaction_id, '"}')
+  WHEN 7 THEN concat('{"transaction_id":"', transaction_id, '","user_id":"u","amount":1e20,"timestamp":"2024-01-01T00:00:00Z"}')
+  ELSE value END"""
+
+
+def _damaged_envelope(txns: DataFrame) -> DataFrame:
+    encoded = encode_payload(txns, keep=("arrival_time", "transaction_id"))
+    return encoded.selectExpr(f"CAST({DAMAGED_SQL} AS BINARY) AS data", "arrival_time")
+
+
 # Malformed and edge-case payloads mixed into the encoded events for the quarantine check.
 BAD_AND_EDGE_PAYLOADS = (
     '{"transaction_id":"a","user_id":"u1","amount":12.5,"merchant":"m","timestamp":"2026-05-28T12:00:00.123456+00:00"}',
@@ -260,7 +294,7 @@ def _mixed_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("raw").cast("binary").alias("data"),
         F.lit(EDGE_ARRIVAL).cast("timestamp").alias("arrival_time"),
     )
-    return _envelope(spark, sf_dir).unionByName(edge)
+    return _damaged_envelope(_txns(spark, sf_dir)).unionByName(edge)
 
 
 def q_valid_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,10 +359,7 @@ def q_stream_valid_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     root = scratch_path(spark, "stream-quarantine")
     events = events_as_transactions(read_events_stream(spark, sf_dir))
-    envelope = encode_payload(events, keep=("arrival_time",)).selectExpr(
-        "CAST(value AS BINARY) AS data", "arrival_time"
-    )
-    q = start_quarantine(envelope, f"{root}/table", f"{root}/checkpoint", available_now=True)
+    q = start_quarantine(_damaged_envelope(events), f"{root}/table", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
     valid, _ = read_routed(spark, f"{root}/table", ROUTED)
     return for_compare(valid, TXN_TS)
@@ -342,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "fraud_windows": q_fraud_windows,
     "fraud_aggregates": q_fraud_aggregates,
     "fraud_alerts": q_fraud_alerts,
+    "fraud_alerts_live": q_fraud_alerts_live,
     "sliding_windows": q_sliding_windows,
     "cold_roundtrip": q_cold_roundtrip,
     "cold_partition_counts": q_cold_partition_counts,

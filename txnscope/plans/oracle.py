@@ -51,7 +51,7 @@ def _windows(name: str, interval: str, metrics: str) -> str:
 
 A_METRICS = "count(*) AS transaction_count, max(amount) AS max_amount"
 B_METRICS = (
-    "count(*) AS transaction_count, sum(amount) AS total_amount, max(amount) AS max_amount, "
+    "count(*) AS transaction_count, CAST(sum(CAST(amount AS DECIMAL(28,10))) AS DOUBLE) AS total_amount, max(amount) AS max_amount, "
     "min(amount) AS min_amount, count(DISTINCT merchant_category) AS distinct_merchant_categories"
 )
 A_FLAGS = (
@@ -140,11 +140,23 @@ MONTH = "year(event_timestamp) = 2024 AND month(event_timestamp) = 1"
 ENCODED = f"""enc AS (
   SELECT user_id AS key,
          json_object('transaction_id', transaction_id, 'user_id', user_id, 'amount', amount,
-                     'merchant', merchant, 'timestamp', {_iso_utc('event_timestamp')})::VARCHAR AS raw,
-         arrival_time
+                     'merchant', merchant, 'timestamp', {_iso_utc('event_timestamp')},
+                     'merchant_category', merchant_category)::VARCHAR AS raw,
+         arrival_time, transaction_id
   FROM txn
 )"""
 
+# Some records are damaged, by their number: cut off, without fields, with an amount that does not fit.
+DAMAGED = """dmg AS (
+  SELECT CASE CAST(transaction_id AS BIGINT) % 17
+           WHEN 3 THEN left(raw, 20)
+           WHEN 5 THEN '{"transaction_id":"' || transaction_id || '"}'
+           WHEN 7 THEN '{"transaction_id":"' || transaction_id || '","user_id":"u","amount":1e20,"timestamp":"2024-01-01T00:00:00Z"}'
+           ELSE raw END AS raw,
+         arrival_time
+  FROM enc
+)"""
+
 EDGE_PAYLOADS = """edge(raw, arrival_time) AS (
   SELECT raw, TIMESTAMP '2026-05-28 12:00:05' FROM (VALUES
     ('{"transaction_id":"a","user_id":"u1","amount":12.5,"merchant":"m","timestamp":"2026-05-28T12:00:00.123456+00:00"}'),
@@ -164,7 +176,7 @@ def _missing(field: str) -> str:
 
 
 CLASSIFIED = f"""payloads AS (
-  SELECT raw, arrival_time FROM enc UNION ALL SELECT raw, arrival_time FROM edge
+  SELECT raw, arrival_time FROM dmg UNION ALL SELECT raw, arrival_time FROM edge
 ),
 valid_json AS (
   SELECT raw, arrival_time,
@@ -185,12 +197,14 @@ parsed AS (
          json_extract_string(j, '$.user_id') AS user_id,
          TRY_CAST(json_extract_string(j, '$.amount') AS DOUBLE) AS amount,
          json_extract_string(j, '$.merchant') AS merchant,
+         json_extract_string(j, '$.merchant_category') AS merchant_category,
          TRY_CAST(json_extract_string(j, '$.timestamp') AS TIMESTAMP) AS event_timestamp,
          CASE WHEN ok_json IS NULL THEN 'EMPTY_PAYLOAD'
               WHEN NOT ok_json THEN 'MALFORMED_JSON'
               WHEN amount_type IS NOT NULL AND amount_type NOT IN ('DOUBLE', 'BIGINT', 'UBIGINT', 'NULL')
                 THEN 'BAD_FIELD_TYPE'
               WHEN missing <> '' THEN 'MISSING_FIELD:' || missing
+              WHEN abs(TRY_CAST(json_extract_string(j, '$.amount') AS DOUBLE)) >= 1e16 THEN 'BAD_AMOUNT'
               WHEN TRY_CAST(json_extract_string(j, '$.timestamp') AS TIMESTAMP) IS NULL THEN 'BAD_TIMESTAMP'
          END AS reject_reason
   FROM cls
@@ -220,7 +234,7 @@ FRAUD_ALERTS_SQL = (
     f"ttl + {(FRAUD.alert_ttl_days - FRAUD.record_ttl_days) * _DAY_S} AS ttl FROM agg WHERE is_fraud"
 )
 DECODED_SQL = (
-    _with(TXN) + "SELECT transaction_id, user_id, amount, merchant, arrival_time, event_timestamp FROM txn"
+    _with(TXN) + "SELECT transaction_id, user_id, amount, merchant, merchant_category, arrival_time, event_timestamp FROM txn"
 )
 
 ORACLE: dict[str, str] = {
@@ -237,6 +251,7 @@ ORACLE: dict[str, str] = {
     f"(total_amount > {_B_TOTAL}) AS is_high_total_spend, {B_FRAUD} AS is_fraud FROM win",
     "fraud_aggregates": _with(TXN, WIN_B_DAY, FRAUD_AGGS) + "SELECT * FROM agg",
     "fraud_alerts": FRAUD_ALERTS_SQL,
+    "fraud_alerts_live": f"SELECT * FROM ({FRAUD_ALERTS_SQL}) WHERE ttl > CAST(epoch(TIMESTAMP '2024-02-15 00:00:00') AS BIGINT)",
     "sliding_windows": _with(TXN, _sliding())
     + f"SELECT window_start, window_end, user_id, transaction_count, max_amount, {A_FLAG_LIST} AS anomaly_flags, "
     f"((max_amount > {_A_AMOUNT}) OR (transaction_count > {_A_COUNT})) AS is_anomaly FROM win",
@@ -281,13 +296,13 @@ ORACLE: dict[str, str] = {
     "live_anomalies": _with(TXN, WIN_A_DAY, RECORDS)
     + f"SELECT {RECORD_COLUMNS} FROM rec WHERE ttl > CAST(epoch(TIMESTAMP '2024-02-15 00:00:00') AS BIGINT)",
     "encode_payload": _with(TXN)
-    + f"SELECT user_id AS key, transaction_id, user_id, amount, merchant, {_iso_utc('event_timestamp')} AS timestamp "
+    + f"SELECT user_id AS key, transaction_id, user_id, amount, merchant, merchant_category, {_iso_utc('event_timestamp')} AS timestamp "
     "FROM txn",
     "decode_payload": DECODED_SQL,
-    "valid_txns": _with(TXN, ENCODED, EDGE_PAYLOADS, CLASSIFIED)
-    + "SELECT transaction_id, user_id, amount, merchant, arrival_time, event_timestamp FROM parsed "
+    "valid_txns": _with(TXN, ENCODED, DAMAGED, EDGE_PAYLOADS, CLASSIFIED)
+    + "SELECT transaction_id, user_id, amount, merchant, merchant_category, arrival_time, event_timestamp FROM parsed "
     "WHERE reject_reason IS NULL",
-    "quarantine": _with(TXN, ENCODED, EDGE_PAYLOADS, CLASSIFIED)
+    "quarantine": _with(TXN, ENCODED, DAMAGED, EDGE_PAYLOADS, CLASSIFIED)
     + "SELECT raw, arrival_time, reject_reason FROM parsed WHERE reject_reason IS NOT NULL",
     "stream_cold_path": _with(TXN) + f"SELECT {COLD_COLUMNS} FROM txn",
     "stream_anomalies": _with(TXN, WIN_A_DAY, RECORDS) + f"SELECT {RECORD_COLUMNS} FROM rec",
@@ -295,5 +310,5 @@ ORACLE: dict[str, str] = {
     + f"SELECT {RECORD_COLUMNS} FROM rec "
     f"WHERE _detected <= (SELECT max(ts) FROM events) - INTERVAL '{ANOMALY.watermark}'",
     "stream_fraud_alerts": FRAUD_ALERTS_SQL,
-    "stream_valid_txns": DECODED_SQL,
+    "stream_valid_txns": DECODED_SQL + " WHERE CAST(transaction_id AS BIGINT) % 17 NOT IN (3, 5, 7)",
 }

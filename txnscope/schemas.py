@@ -14,7 +14,7 @@ ENVELOPE = T.StructType(
 
 # JSON payload of one transaction. ``from_json`` makes every field nullable whatever the
 # declaration says; required-ness is checked by the quarantine operator instead.
-PAYLOAD_FIELDS = ("transaction_id", "user_id", "amount", "merchant", "timestamp")
+PAYLOAD_FIELDS = ("transaction_id", "user_id", "amount", "merchant", "timestamp", "merchant_category")
 REQUIRED_FIELDS = ("transaction_id", "user_id", "amount", "timestamp")
 PAYLOAD = T.StructType(
     [
@@ -23,6 +23,7 @@ PAYLOAD = T.StructType(
         T.StructField("amount", T.DoubleType(), True),
         T.StructField("merchant", T.StringType(), True),
         T.StructField("timestamp", T.StringType(), True),
+        T.StructField("merchant_category", T.StringType(), True),
     ]
 )
 CORRUPT_COLUMN = "_corrupt_record"

@@ -83,12 +83,23 @@ LOW_MEMORY_CONF = {"spark.unsafe.sorter.spill.read.ahead.enabled": "false"}
 STREAMING_STATE_PARTITIONS = 400
 
 
+# Fixed by a streaming query at its first start.
+STREAMING_CONF = {k: v for k, v in CLUSTER_CONF.items() if k.startswith("spark.sql.streaming.stateStore.")}
+
+
+def prepare_streaming(spark: SparkSession) -> None:
+    """State settings for queries about to start; what the user has set stays."""
+    for key, value in STREAMING_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Window alignment, calendar partition columns and ISO text all assume UTC."""
     spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
-def _is_local(spark: SparkSession) -> bool:
+def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
@@ -114,7 +125,7 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
-    if not _is_local(spark):
+    if not is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; configure a shared (HDFS/object store) folder "
             "for checkpoints and intermediate tables"

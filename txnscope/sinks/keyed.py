@@ -4,6 +4,7 @@ A table is a folder::
 
     <root>/checkpoint/   streaming checkpoint of the query that feeds it
     <root>/log/batch_id=N/part-*.parquet
+    <root>/snapshot/N-K/part-*.parquet   the kept rows of all batches up to N
 
 Each micro-batch is written to its own ``batch_id`` partition with dynamic partition
 overwrite, so a replayed batch (after a failure, same ``batch_id``) replaces exactly its
@@ -11,8 +12,11 @@ own files: writes are idempotent. The *latest view* keeps, per key, the row of t
 ``batch_id``; the *live view* also drops rows whose ``ttl`` (epoch seconds) has passed.
 Log and checkpoint share one root because a fresh checkpoint restarts ``batch_id`` at 0.
 
-Compaction rewrites the live rows of all committed batches into the newest committed
-partition and removes older ones; run it between query runs, not while the query writes.
+Compaction writes the kept rows of all committed batches as a new snapshot. Readers use the
+newest snapshot whose success marker is there, and the batches after it, so a crash before
+the marker changes nothing and one after it only leaves files that nobody reads. It touches
+committed batches only and can run while the query writes. Files are removed one compaction
+later, so readers that started before it still find theirs.
 """
 
 from __future__ import annotations
@@ -24,25 +28,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from txnscope.session import shared_root
-
 BATCH = "batch_id"
 
 
-def _jvm_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _jvm_path(spark, path)
-    return bool(fs.exists(p))
-
-
 def _batch_ids(spark: SparkSession, log: str) -> list[int]:
     """Partition folder names (metadata listing only, no data read)."""
-    p, fs = _jvm_path(spark, log)
+    p, fs = hadoop_path(spark, log)
     if not fs.exists(p):
         return []
     ids = []
@@ -55,13 +52,26 @@ def _batch_ids(spark: SparkSession, log: str) -> list[int]:
 
 def _last_committed(spark: SparkSession, checkpoint: str) -> int | None:
     """Highest batch id in the streaming checkpoint's commit log (None: no stream)."""
-    p, fs = _jvm_path(spark, f"{checkpoint}/commits")
+    p, fs = hadoop_path(spark, f"{checkpoint}/commits")
     if not fs.exists(p):
         return None
     ids = [int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()]
     return max(ids) if ids else -1
 
 
+def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """(batch, number) of the published snapshots, oldest first; one without its success marker is unfinished."""
+    p, fs = hadoop_path(spark, f"{root}/snapshot")
+    if not fs.exists(p):
+        return []
+    found = []
+    for status in fs.listStatus(p):
+        batch, _, number = status.getPath().getName().partition("-")
+        if batch.isdigit() and number.isdigit() and fs.exists(hadoop_path(spark, f"{root}/snapshot/{batch}-{number}/_SUCCESS")[0]):
+            found.append((int(batch), int(number)))
+    return sorted(found)
+
+
 def _latest(log: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """``row_number() = 1`` per key by descending batch: Spark inserts a partial per-key
     group limit before the shuffle, so superseded versions are dropped map-side."""
@@ -69,14 +79,15 @@ def _latest(log: DataFrame, key: tuple[str, ...]) -> DataFrame:
     return log.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def _live(rows: DataFrame, ttl_column: str, as_of: Column | str | None) -> DataFrame:
+def unexpired(rows: DataFrame, expiry: str, as_of: Column | str | None = None) -> DataFrame:
+    """Rows whose expiry (a SQL expression in epoch seconds) is after ``as_of``, by default now."""
     if as_of is None:
         at = F.current_timestamp()
     elif isinstance(as_of, Column):
         at = as_of
     else:
         at = F.lit(as_of).cast("timestamp")
-    return rows.filter(F.col(ttl_column) > F.unix_timestamp(at))
+    return rows.filter(F.expr(expiry) > F.unix_timestamp(at))
 
 
 @dataclass(frozen=True)
@@ -85,9 +96,9 @@ class KeyedTable:
     key: tuple[str, ...]
     schema: T.StructType  # row schema without batch_id
     ttl_column: str = "ttl"
-    # Files per micro-batch: the batch arrives with one partition per state-store
-    # partition (thousands on a cluster); a small shuffle on the key bounds the file count.
-    files_per_batch: int | None = 8
+    # SQL expression of the epoch second until which compaction keeps a row, where a view over
+    # the rows outlives them; the expiry column if unset.
+    kept_until: str | None = None
 
     @property
     def log(self) -> str:
@@ -101,18 +112,32 @@ class KeyedTable:
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Idempotent write of one batch (safe to call again with the same id)."""
         out = rows.select(*[F.col(f.name) for f in self.schema.fields])
-        if self.files_per_batch:
-            out = out.repartition(self.files_per_batch, *[F.col(k) for k in self.key])
         (
-            out.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+            self._sized(out).withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH)
             .parquet(self.log)
         )
 
+    def _sized(self, rows: DataFrame) -> DataFrame:
+        """Files sized by their data where the plan may adapt; a micro-batch of a stateful query may
+        not, and writes its state partitions as they are."""
+        adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+        return rows.hint("rebalance", *self.key) if adaptive else rows
+
     # ----------------------------------------------------------------- read side
     def log_rows(self, spark: SparkSession) -> DataFrame:
+        """Rows of the newest snapshot, under the batch it reaches up to, and of the batches after it."""
+        log, taken = self._batches(spark), _snapshots(spark, self.root)
+        if not taken:
+            return log
+        batch, number = taken[-1]
+        snapshot = spark.read.schema(self.schema).parquet(f"{self.root}/snapshot/{batch}-{number}")
+        newer = log.where(F.col(BATCH) > F.lit(batch))
+        return snapshot.withColumn(BATCH, F.lit(batch).cast("long")).unionByName(newer)
+
+    def _batches(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType(), True)])
         try:
             return spark.read.schema(schema).parquet(self.log)
@@ -128,31 +153,30 @@ class KeyedTable:
     def live(self, spark: SparkSession, as_of: Column | str | None = None) -> DataFrame:
         """Latest rows whose expiry is still ahead of ``as_of`` (default: now; a string
         is a timestamp literal such as ``'2024-02-15 00:00:00'``)."""
-        return _live(self.latest(spark), self.ttl_column, as_of)
+        return unexpired(self.latest(spark), self.ttl_column, as_of)
 
     # ---------------------------------------------------------------- maintenance
     def compact(self, spark: SparkSession, as_of: Column | str | None = None) -> int | None:
-        """Collapse the log to its live rows; returns the batch id they now carry.
-
-        Only batches the feeding stream has committed are compacted (a batch after the
-        last commit may still be replayed and would overwrite the snapshot). The live rows
-        of those batches are checkpointed (reliable checkpoint in the shared folder) to
-        cut the lineage to the files about to be replaced, written as the newest compacted
-        partition, and older partitions are deleted afterwards. A crash in between leaves
-        duplicates of a key in old partitions, which the latest view resolves.
+        """Write the kept rows of all committed batches as a snapshot; returns its batch id.
+
+        Batches after the stream's last commit may still be replayed and stay in the log. Rows
+        past ``kept_until`` go. Older snapshots, and batches that the snapshot before this one
+        had replaced, are deleted afterwards.
         """
         ids = _batch_ids(spark, self.log)
         committed = _last_committed(spark, self.checkpoint)
         if committed is not None:
             ids = [i for i in ids if i <= committed]
-        if not ids:
+        taken = _snapshots(spark, self.root)
+        if not ids and not taken:
             return None
-        upto = ids[-1]
-        shared_root(spark)  # the reliable checkpoint below needs the shared folder set
+        before, number = taken[-1] if taken else (-1, -1)
+        upto = max([*ids, before])
         covered = self.log_rows(spark).where(F.col(BATCH) <= F.lit(upto))
-        snapshot = _live(_latest(covered, self.key), self.ttl_column, as_of).checkpoint(eager=True)
-        self.write_batch(snapshot, upto)
-        for old in ids[:-1]:
-            p, fs = _jvm_path(spark, f"{self.log}/{BATCH}={old}")
+        kept = unexpired(_latest(covered, self.key).drop(BATCH), self.kept_until or self.ttl_column, as_of)
+        self._sized(kept).write.mode("overwrite").parquet(f"{self.root}/snapshot/{upto}-{number + 1}")
+        old = [f"{self.log}/{BATCH}={i}" for i in ids if i <= before]
+        for path in [*old, *(f"{self.root}/snapshot/{b}-{k}" for b, k in taken[:-1])]:
+            p, fs = hadoop_path(spark, path)
             fs.delete(p, True)
         return upto

@@ -22,13 +22,16 @@ from txnscope.schemas import (
     REQUIRED_FIELDS,
 )
 
-DECODED_COLUMNS = ("transaction_id", "user_id", "amount", "merchant", "arrival_time", "event_timestamp")
+DECODED_COLUMNS = (
+    "transaction_id", "user_id", "amount", "merchant", "merchant_category", "arrival_time", "event_timestamp",
+)
 
 # Quarantine reasons, checked in this order.
 EMPTY_PAYLOAD = "EMPTY_PAYLOAD"
 MALFORMED_JSON = "MALFORMED_JSON"
 BAD_FIELD_TYPE = "BAD_FIELD_TYPE"
 MISSING_FIELD = "MISSING_FIELD"
+BAD_AMOUNT = "BAD_AMOUNT"
 BAD_TIMESTAMP = "BAD_TIMESTAMP"
 QUALITY_METRICS = "payload_quality"
 DECODE_METRICS = "decoded_payloads"
@@ -59,11 +62,15 @@ ROUTED = T.StructType(
 _PAYLOAD_DDL = PAYLOAD.simpleString()
 _PAYLOAD_CORRUPT_DDL = PAYLOAD_WITH_CORRUPT.simpleString()
 _TEXT = "CAST(data AS STRING)"
+# A number that DECIMAL(18,2) can hold; false for NaN, which is larger than all numbers.
+_AMOUNT_FITS = "abs(txn.amount) < 1e16D"
 
 
 def decode_payload(envelope: DataFrame, metrics_name: str = DECODE_METRICS) -> DataFrame:
     """Envelope -> parsed transactions (keeps malformed rows as NULLs, like the source job).
 
+    Amounts that are no number or too large for the records' money type become NULL as well.
+
     The observation counts payloads and those without a usable event time per batch (the
     windowed aggregation ignores the latter). It is also a plan boundary: windowing adds an
     ``event_timestamp IS NOT NULL`` filter that Catalyst would otherwise push below this
@@ -72,7 +79,8 @@ def decode_payload(envelope: DataFrame, metrics_name: str = DECODE_METRICS) -> D
     """
     parsed = envelope.selectExpr(f"from_json({_TEXT}, '{_PAYLOAD_DDL}') AS txn", "arrival_time")
     decoded = parsed.selectExpr(
-        *[f"txn.{f} AS {f}" for f in ("transaction_id", "user_id", "amount", "merchant")],
+        *[f"txn.{f} AS {f}" for f in ("transaction_id", "user_id", "merchant", "merchant_category")],
+        f"CASE WHEN {_AMOUNT_FITS} THEN txn.amount END AS amount",
         "arrival_time",
         "try_to_timestamp(txn.timestamp) AS event_timestamp",
     )
@@ -96,9 +104,11 @@ def encode_payload(txns: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``to_json`` omits NULL fields; the time is ISO-8601 with offset. Writing to a keyed
     log with ``key`` keeps each user's records on one partition of the log.
     """
+    txns = with_category(txns)
     record = (
         "named_struct('transaction_id', transaction_id, 'user_id', user_id, 'amount', amount, "
-        f"'merchant', merchant, 'timestamp', {iso_utc_sql('event_timestamp')})"
+        f"'merchant', merchant, 'timestamp', {iso_utc_sql('event_timestamp')}, "
+        "'merchant_category', merchant_category)"
     )
     return txns.selectExpr("user_id AS key", f"to_json({record}) AS value", *keep)
 
@@ -108,7 +118,7 @@ def classify_payloads(envelope: DataFrame, metrics_name: str = QUALITY_METRICS)
 
     Reasons, first match wins: empty payload; not JSON at all; a field of the wrong type
     (Spark records the text in the corrupt-record column); required fields missing or
-    null (listed); an unparsable event time.
+    null (listed); an amount that is no number or does not fit; an unparsable event time.
     """
     parsed = envelope.selectExpr(
         f"{_TEXT} AS raw",
@@ -126,6 +136,7 @@ def classify_payloads(envelope: DataFrame, metrics_name: str = QUALITY_METRICS)
         f"WHEN {corrupt} AND get_json_object(raw, '$') IS NULL THEN '{MALFORMED_JSON}' "
         f"WHEN {corrupt} THEN '{BAD_FIELD_TYPE}' "
         f"WHEN {missing} != '' THEN concat('{MISSING_FIELD}:', {missing}) "
+        f"WHEN NOT ({_AMOUNT_FITS}) THEN '{BAD_AMOUNT}' "
         f"WHEN try_to_timestamp(txn.timestamp) IS NULL THEN '{BAD_TIMESTAMP}' END"
     )
     classified = parsed.selectExpr(

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from txnscope.config import ANOMALY, COLD_TRIGGER, FRAUD, HOT_TRIGGER, RuleProfile
-from txnscope.operators.records import anomaly_records, fraud_aggregates
+from txnscope.config import ANOMALY, COLD_TRIGGER, COUNT, FRAUD, HOT_TRIGGER, MAX_AMOUNT, RuleProfile
+from txnscope.operators.records import alert_expiry_sql, anomaly_records, fraud_aggregates, fraud_alerts
 from txnscope.operators.windows import aggregate
 from txnscope.schemas import ANOMALY_RECORD, FRAUD_AGGREGATE, PARTITION_COLUMNS, TRANSACTION_COLUMNS
-from txnscope.sinks.keyed import KeyedTable
+from txnscope.sinks.keyed import KeyedTable, unexpired
 from txnscope.sinks.lake import with_partition_columns
 from txnscope.sources.payload import STATUS_REJECTED, STATUS_VALID, classify_payloads, with_category
 
@@ -66,7 +66,14 @@ def anomaly_table(root: str) -> KeyedTable:
 
 
 def fraud_table(root: str) -> KeyedTable:
-    return KeyedTable(root=root, key=("pk", "sk"), schema=FRAUD_AGGREGATE)
+    """Aggregate rows; flagged ones are kept as long as their alerts live."""
+    kept = f"CASE WHEN {FRAUD.flagged} THEN greatest(ttl, {alert_expiry_sql(FRAUD)}) ELSE ttl END"
+    return KeyedTable(root=root, key=("pk", "sk"), schema=FRAUD_AGGREGATE, kept_until=kept)
+
+
+def live_alerts(spark, table: KeyedTable, as_of: str | None = None, profile: RuleProfile = FRAUD) -> DataFrame:
+    """Alerts of the latest aggregate rows whose own expiry is still ahead, which may be past the rows' own."""
+    return unexpired(fraud_alerts(table.latest(spark), profile), "ttl", as_of)
 
 
 def start_hot(
@@ -84,8 +91,11 @@ def start_hot(
 
     Update mode re-emits a window whenever a batch touches it; the keyed log plus the
     latest view turn those re-emissions into an upsert. For this profile count and max
-    only grow, so filtering flagged rows per batch equals filtering the final state.
+    only grow, so filtering flagged rows per batch equals filtering the final state. Profiles
+    with rules on other metrics are refused: their windows may lose a flag again.
     """
+    if any(r.metric not in (COUNT, MAX_AMOUNT) for r in profile.rules):
+        raise ValueError(f"{profile.name}: flags can be withdrawn, use start_fraud_hot")
     windows = observe_windows(aggregate(txns, profile, window), profile)
 
     def sink(batch, batch_id: int) -> None:

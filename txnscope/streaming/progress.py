@@ -30,11 +30,11 @@ def observe_transactions(
 
 
 class ProgressCollector(StreamingQueryListener):
-    """Accumulates observed metrics and watermark drops per query name."""
+    """Accumulates observed metrics, by query and metric name, and watermark drops by query name."""
 
     def __init__(self) -> None:
         self._lock = threading.Lock()
-        self.totals: dict[str, dict[str, int]] = {}
+        self.totals: dict[tuple[str, str], dict[str, int]] = {}
         self.dropped_by_watermark: dict[str, int] = {}
         self.batches: dict[str, int] = {}
 
@@ -47,7 +47,7 @@ class ProgressCollector(StreamingQueryListener):
         with self._lock:
             self.batches[name] = self.batches.get(name, 0) + 1
             for metric_name, row in (p.observedMetrics or {}).items():
-                acc = self.totals.setdefault(metric_name, {})
+                acc = self.totals.setdefault((name, metric_name), {})
                 for k, v in row.asDict().items():
                     acc[k] = acc.get(k, 0) + (v or 0)
             dropped = sum(op.numRowsDroppedByWatermark for op in (p.stateOperators or []))
@@ -59,10 +59,16 @@ class ProgressCollector(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         pass
 
-    def stats(self, name: str = TXN_STATS) -> dict[str, float]:
-        """Running totals and the anomalous share in percent (2 decimals)."""
+    def stats(self, name: str = TXN_STATS, query: str | None = None) -> dict[str, float]:
+        """Running totals and the anomalous share in percent (2 decimals).
+
+        Queries that share a source each report its rows: where several report the metric, ``query`` names one.
+        """
         with self._lock:
-            acc = dict(self.totals.get(name, {}))
+            found = {q: dict(acc) for (q, metric), acc in self.totals.items() if metric == name}
+        if query is None and len(found) > 1:
+            raise ValueError(f"{name} is reported by {sorted(found)}: name one")
+        acc = found.get(query, {}) if query else next(iter(found.values()), {})
         total = acc.get("total_sent", 0)
         high = acc.get("total_anomalies", 0)
         acc["pct_anomalies"] = round(100.0 * high / total, 2) if total else None
