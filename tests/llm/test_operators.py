@@ -268,6 +268,45 @@ def test_word_piece_counts_cover_every_row(spark, docs):
     assert got.count() == docs.count() and got.where("n_tokens < 0").count() == 0
 
 
+def _greedy_pieces(word: str, initial: set[str], continuing: set[str]) -> int:
+    """Pieces of the longest-match split, tried piece by piece; 0 if there is none."""
+    lengths = [k for k in range(len(word), -1, -1) if word[:k] in initial]
+    if not lengths:
+        return 0
+    n, at = 1, lengths[0]
+    while at < len(word):
+        at = next((k for k in range(len(word), at, -1) if word[at:k] in continuing), None)
+        if at is None:
+            return 0
+        n += 1
+    return n
+
+
+def test_word_piece_counts_equal_brute_force(spark):
+    pieces = wordpiece.sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    initial, continuing = map(set, pieces)
+    texts = ["", "3 42nd 2024-05-17 7up", "日本語 中文字符 한국어 русский", "über Ünïcode ÇA éa ñandú", "\U0001f600 \U0001f600ab a\U0001f600 \ue123", BASE, *filter(None, TEXTS[9:13])]
+    texts.append(" ".join(sorted(continuing)[:2000]))
+    want = Counter()
+    for i, text in enumerate(texts):
+        counts = [_greedy_pieces(w, initial, continuing) for w in WORD.findall(text)]
+        want[i, len(counts), sum(c or 1 for c in counts), counts.count(0)] += 1
+    got = wordpiece.token_counts(spark, _frame(spark, list(enumerate(texts))), *pieces).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_tokens, r.n_unknown) for r in got) == want
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[1].n_unknown == 0 and by_id[1].n_tokens > by_id[1].n_words  # words that begin with digits are covered
+
+
+def test_word_piece_lone_mark_is_a_piece():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        words = ["".join(rng.choice(list("abc"), rng.integers(1, 4))) for _ in range(12)]
+        initial, continuing = set(words[:5]) | ({""} if rng.random() < 0.7 else set()), set(words[5:])
+        count = wordpiece.CountAutomaton(initial, continuing).count
+        for word in ("".join(rng.choice(list("abcd"), rng.integers(1, 9), p=[0.32, 0.32, 0.32, 0.04])) for _ in range(30)):
+            assert count(word) == _greedy_pieces(word, initial, continuing), (word, initial, continuing)
+
+
 def test_classifier_beats_chance_on_held_out_rows(spark):
     ship_code(spark)
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))

@@ -4,7 +4,8 @@ The vocabulary is a trie with two roots: pieces that begin a word, and pieces th
 node has a failure link and the number of pieces that leave the front of the word when the link is
 followed; both are computed once, breadth first. A word is then read once, left to right, and its
 piece count is the sum of the popped counts: no piece is built and no character is read again.
-A word that the vocabulary cannot cover counts as one unknown token.
+The word mark may be a piece of its own (an empty initial piece): then a word that no longer initial piece
+begins is the mark and continuing pieces. A word that the vocabulary cannot cover counts as one unknown token.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ class CountAutomaton:
     def __init__(self, initial: Iterable[str], continuing: Iterable[str]):
         self.child: list[dict[str, int]] = [{}, {}]
         final = [False, False]
+        lone_mark = False
         for root, pieces in ((START, initial), (CONTINUE, continuing)):
             for piece in pieces:
                 node = root if piece else NONE
+                lone_mark |= root == START and not piece
                 for c in piece:
                     at = self.child[node].get(c)
                     if at is None:
@@ -41,6 +44,8 @@ class CountAutomaton:
                     final[node] = True
         n = len(self.child)
         self.fail, self.popped = [NONE] * n, [0] * n
+        if lone_mark:  # the mark is popped, the word's characters are still to come
+            self.fail[START], self.popped[START] = CONTINUE, 1
         queue = deque([START, CONTINUE])
         while queue:
             v = queue.popleft()
@@ -76,14 +81,17 @@ class CountAutomaton:
 
 
 def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
-    """(initial, continuing) pieces of a sentencepiece model; its byte and control pieces stay out."""
+    """(initial, continuing) pieces of a sentencepiece model; its byte and control pieces stay out.
+
+    Initial pieces come without their word mark; the lone mark is the empty piece.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
     pieces = [model.id_to_piece(i) for i in ids]
     mark = "▁"
-    return [p[1:] for p in pieces if p[0] == mark and len(p) > 1], [p for p in pieces if p[0] != mark]
+    return [p[1:] for p in pieces if p[0] == mark], [p for p in pieces if p[0] != mark]
 
 
 def token_counts(spark: SparkSession, docs: DataFrame, initial: list[str], continuing: list[str]) -> DataFrame:
