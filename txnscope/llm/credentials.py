@@ -2,7 +2,7 @@
 
 Strong spans (assignments, access identifiers, long hex runs) are reported as they are. Weak parts, that alone
 are mostly harmless, are reported only if a complementary part stands near them in the same scope (a
-paragraph): a secret-like value beside an access identifier or an endpoint, and a short-lived or client
+paragraph): a secret-like value beside an access identifier or beside or in an endpoint, and a short-lived or client
 identifier beside a secret. Extraction is one pass over the texts; linking is a join of the few weak parts
 with their possible partners on (row, scope, place), where a place is an interval of ``REACH`` characters.
 """
@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -51,7 +53,7 @@ def strong_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def weak_spans(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates outside the strong spans."""
+    """Candidates that no strong span overlaps; endpoints also around strong spans."""
     out = []
     if "SIA" in text or "ROA" in text or "IDA" in text or "=" in text or ":" in text:
         out += [(m.start(), 3, m.end()) for m in KEY_ID.finditer(text)]
@@ -61,16 +63,9 @@ def weak_spans(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int,
             out.append((m.start(), 4, m.end()))
     if "://" in text:
         out += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
-    if strong and out:  # both lists by start: one sweep
-        out.sort()
-        kept, i, reach = [], 0, -1
-        for start, kind, end in out:
-            while i < len(strong) and strong[i][0] < end:
-                reach = max(reach, strong[i][2])
-                i += 1
-            if kind == 5 or reach <= start:
-                kept.append((start, kind, end))
-        out = kept
+    if strong and out:  # of the strong spans that start before a part's end, the furthest end
+        starts, reach = [s[0] for s in strong], list(accumulate((s[2] for s in strong), max))
+        out = [x for x in out if x[1] == 5 or not (i := bisect_left(starts, x[2])) or reach[i - 1] <= x[0]]
     return sorted(out)
 
 
@@ -131,7 +126,8 @@ def linked(found: DataFrame) -> DataFrame:
     completes = F.lit(False)
     for kind, others in PARTNERS.items():
         completes |= (F.col("kind") == KINDS.index(kind)) & F.col("k").isin([KINDS.index(o) for o in others])
-    near = (F.abs(F.col("start") - F.col("a")) <= REACH) & ((F.col("a") >= F.col("end")) | (F.col("start") >= F.col("b")))
+    inside = (F.col("kind") == KINDS.index("secret")) & (F.col("k") == KINDS.index("endpoint")) & (F.col("a") <= F.col("start")) & (F.col("end") <= F.col("b"))
+    near = (F.abs(F.col("start") - F.col("a")) <= REACH) & ((F.col("a") >= F.col("end")) | (F.col("start") >= F.col("b")) | inside)
     same = (F.col("uid") == F.col("u")) & (F.col("scope") == F.col("s")) & (F.col("place") == F.col("at"))
     return weak.join(partners, same & completes & near, "left_semi").select("uid", "start", "kind", "end")
 
