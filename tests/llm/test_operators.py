@@ -134,6 +134,33 @@ def test_credentials_in_endpoints_are_linked(spark):
     assert got == {i: ",".join(f"{kind}:{a}:{b}" for j, kind, a, b in at if j == i) for i in range(3)}
 
 
+def _linked(text: str) -> set:
+    """Weak parts with a partner, pair by pair."""
+    strong = credentials.strong_spans(text)
+    weak = credentials.weak_spans(text, strong)
+    breaks = [m.start() for m in re.finditer(r"\n\s*\n", text)]
+    scope = {x: sum(b < x[0] for b in breaks) for x in strong + weak}
+    out = set()
+    for x in weak:
+        for y in strong + weak:
+            completes = credentials.KINDS[y[1]] in credentials.PARTNERS.get(credentials.KINDS[x[1]], ())
+            around = x[1] == 4 and y[1] == 5 and y[0] <= x[0] and x[2] <= y[2]
+            if completes and scope[x] == scope[y] and (y[0] >= x[2] or y[2] <= x[0] or around):
+                out.add(x)
+    return out
+
+
+def test_linked_parts_equal_brute_force_at_any_distance(spark):
+    ship_code(spark)
+    far = ["ASIAABCDEFGHIJKLMNOP\n" + "name: value\n" * 500 + f"v: {VALUE}", "key_id: " + "k" * 300 + f" {VALUE}"]
+    texts = [*far, *_fragment_texts(300, 7)]
+    got = {r.doc_id: r for r in credentials.secrets(spark, _frame(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        want = _linked(text)
+        assert got[i].n_linked == len(want) and got[i].spans == _spans([*credentials.strong_spans(text), *want], credentials.KINDS), text
+    assert got[0].n_linked == got[1].n_linked == 2
+
+
 def _luhn(digits: str) -> bool:
     doubled = [int(c) * (1 + j % 2) for j, c in enumerate(reversed(digits))]
     return sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0

@@ -1,10 +1,10 @@
-"""Secrets in texts, with multipart credentials linked by interval joins.
+"""Secrets in texts, with multipart credentials linked by co-occurrence.
 
 Strong spans (assignments, access identifiers, long hex runs) are reported as they are. Weak parts, that alone
-are mostly harmless, are reported only if a complementary part stands near them in the same scope (a
-paragraph): a secret-like value beside an access identifier or beside or in an endpoint, and a short-lived or client
-identifier beside a secret. Extraction is one pass over the texts; linking is a join of the few weak parts
-with their possible partners on (row, scope, place), where a place is an interval of ``REACH`` characters.
+are mostly harmless, are reported only if a complementary part stands in the same scope (a paragraph),
+however far away: a secret-like value beside an access identifier or beside or in an endpoint, and a
+short-lived or client identifier beside a secret. Extraction is one pass over the texts; linking reads the few
+parts of each (row, scope) once, by windows.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnscope.llm.text import documents
@@ -35,7 +35,6 @@ SECRET = re.compile(r"(?<![A-Za-z0-9/+=_.-])[A-Za-z0-9/+]{32,}={0,2}(?![A-Za-z0-
 ENDPOINT = re.compile(r"(?:https?|ftp|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]{4,}")
 PARAGRAPH = re.compile(r"\n\s*\n")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
-REACH = 256
 #: Which kinds complete a weak kind.
 PARTNERS = {"key_id": ("assign", "hex", "secret"), "secret": ("access", "key_id", "endpoint")}
 
@@ -109,27 +108,24 @@ def _extract(docs: DataFrame) -> DataFrame:
 
 
 def linked(found: DataFrame) -> DataFrame:
-    """uid, start, kind and end of the weak parts that have a complementary part within REACH in their scope."""
+    """uid, start, kind and end of the weak parts that have a complementary part in their scope.
+
+    A partner does not overlap the part: one of the kind ends before the part or starts behind it, so a scope's
+    first end and last start of the kind decide. Or it is an endpoint around a secret: endpoints do not overlap
+    each other, so the furthest end of those that start before the secret decides.
+    """
     parts = found.where(F.size("parts") > 0).select("uid", F.explode("parts").alias("p")).select("uid", "p.*")
-    place = F.floor(F.col("start") / REACH).cast("int")
-    weak_kinds = [KINDS.index(k) for k in PARTNERS]
-    weak = parts.where(F.col("kind").isin(weak_kinds)).withColumn("place", place)
-    # a partner that starts within REACH stands in the same place or one beside it
-    partners = parts.select(
-        F.col("uid").alias("u"),
-        F.col("scope").alias("s"),
-        F.col("start").alias("a"),
-        F.col("end").alias("b"),
-        F.col("kind").alias("k"),
-        F.explode(F.array(place - 1, place, place + 1)).alias("at"),
-    )
-    completes = F.lit(False)
+    scope = Window.partitionBy("uid", "scope")
+    completed = F.lit(False)
     for kind, others in PARTNERS.items():
-        completes |= (F.col("kind") == KINDS.index(kind)) & F.col("k").isin([KINDS.index(o) for o in others])
-    inside = (F.col("kind") == KINDS.index("secret")) & (F.col("k") == KINDS.index("endpoint")) & (F.col("a") <= F.col("start")) & (F.col("end") <= F.col("b"))
-    near = (F.abs(F.col("start") - F.col("a")) <= REACH) & ((F.col("a") >= F.col("end")) | (F.col("start") >= F.col("b")) | inside)
-    same = (F.col("uid") == F.col("u")) & (F.col("scope") == F.col("s")) & (F.col("place") == F.col("at"))
-    return weak.join(partners, same & completes & near, "left_semi").select("uid", "start", "kind", "end")
+        partner = F.col("kind").isin([KINDS.index(o) for o in others])
+        first_end = F.min(F.when(partner, F.col("end"))).over(scope)
+        last_start = F.max(F.when(partner, F.col("start"))).over(scope)
+        apart = (first_end <= F.col("start")) | (last_start >= F.col("end"))
+        completed |= (F.col("kind") == KINDS.index(kind)) & F.coalesce(apart, F.lit(False))
+    around = F.max(F.when(F.col("kind") == KINDS.index("endpoint"), F.col("end"))).over(scope.orderBy("start"))
+    completed |= (F.col("kind") == KINDS.index("secret")) & F.coalesce(around >= F.col("end"), F.lit(False))
+    return parts.withColumn("completed", completed).where("completed").select("uid", "start", "kind", "end")
 
 
 def _joined(spans: str):
