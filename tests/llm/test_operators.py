@@ -182,6 +182,32 @@ def test_personal_data_base_spans(spark, docs, rows):
     assert Counter((r.doc_id, r.base_sha256) for r in got) == want
 
 
+def test_national_numbers_and_spelled_out_addresses_are_redacted(spark):
+    ship_code(spark)
+    names = ("bob", "ann", "eve")
+    forms = [
+        lambda i: f"they said {names[i % 3]}.{i}@mail.example.com is right",
+        lambda i: f"write to {names[i % 3]}{i} [at] host [dot] com soon",
+        lambda i: f"the fair {names[i % 3]}{i} (at) 10.{i % 60:02d} sharp",
+        lambda i: f"or +1 (555) 555-{i:04d} at night",
+        lambda i: f"please call 555-{100 + i}-{4567 + i} today",
+        lambda i: f"please order 555-{100 + i}-{4567 + i} today",
+    ]
+    # spelled-out addresses outnumber the times of day that look alike
+    rows = [(6 * i + k, f(i)) for i in range(150) for k, f in enumerate(forms) if k != 2 or i % 30 == 0]
+    rows = [(j, t) for j, (_, t) in enumerate(rows)]
+    frame = _frame(spark, rows)
+    out = {r.doc_id: r.text for r in pii.redacted(spark, frame).collect()}
+    for i, text in rows:
+        if "call 555" in text:
+            assert out[i] == "please call [PHONE] today"
+        elif "order 555" in text:
+            assert out[i] == text
+        elif "[dot]" in text:
+            assert out[i] == "write to [EMAIL] soon"
+    assert sum(r.n_added for r in pii.personal_data(spark, frame).collect()) >= 300
+
+
 def test_redaction_keeps_columns(spark, docs):
     out = pii.redacted(spark, docs)
     assert out.columns == docs.columns and out.count() == docs.count()

@@ -3,9 +3,12 @@
 Base spans come from strict patterns and checks. Beside them, generators propose overlapping candidates for the
 same kinds: numbers grouped like phone numbers or cards wherever they stand, spelled-out e-mail
 addresses, dotted quads. A candidate has format and context features, each a small integer, so all
-candidates of a corpus fall into a bounded number of cells. Weak labels say whether a candidate passes its
-kind's strict check; the features do not contain that check. Gradient-boosted trees are fitted on the counts of
-the cells, and each kind's threshold is the lowest score whose precision on held-out documents is high enough.
+candidates of a corpus fall into a bounded number of cells. Weak labels reach beyond the base patterns: an e-mail
+address is plain or, spelled out or spaced, ends in a label of letters only; a phone number has a country code or a
+word like "call" ahead; the others pass their strict check. The features do not contain these checks, but for the
+words ahead of a phone number: national numbers are told from other numbers by them alone, so their
+precision is held against that rule. Gradient-boosted trees are fitted on the counts of the cells, and each
+kind's threshold is the lowest score whose precision on held-out documents is high enough.
 The trees become one SQL expression. Selected candidates join the base spans.
 
 Offsets are computed inside each row, from the lengths of matches and of the text between them.
@@ -42,6 +45,7 @@ CANDIDATES = {
 NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{4}", "phone": "[0-9]{2}"}
 BASE_NEEDS = {**NEEDS, "card": "[0-9]", "phone": r"\+[0-9]"}
 CONTACT = "call|phone|tel|mobil|fax|cell|mail|contact|reach|kontakt|llam|appel"
+CALLED = "(^|[^a-z])(call|phone|tel|mobil|fax|cell|contact|reach|kontakt|llam|appel)"
 PAYMENT = "card|visa|credit|debit|konto|carte|tarjeta|account"
 NEUTRAL = r"order|invoice|ref|\\bno\\b|\\bnr\\b|\\bid\\b|page|total|version|item|token|="
 FEATURES = ("kind", "digits", "separator", "words", "before", "after", "prefix")
@@ -105,7 +109,10 @@ def _features(k: int, kind: str, m: str, g: str) -> str:
     """Struct of a candidate ``x`` at index ``i``: its kind, weak label and features."""
     count = f"char_length({_digits('x')})"
     ahead = f"lower(right(get({g}, i), 24))"
-    label = {"email": "x rlike '^[^ (\\\\[]+@[^ (\\\\[]+$'", "phone": "left(x, 1) = '+'"}.get(kind, _check(kind, "x"))
+    label = {
+        "email": "x rlike '^[^ (\\\\[]+@[^ (\\\\[]+$' OR x rlike '[^A-Za-z0-9-][A-Za-z]{2,}$'",
+        "phone": f"left(x, 1) = '+' OR {ahead} rlike '{CALLED}'",
+    }.get(kind, _check(kind, "x"))
     parts = {
         "kind": str(k),
         "digits": f"CASE WHEN {count} < 9 THEN 0 WHEN {count} <= 10 THEN 1 WHEN {count} <= 12 THEN 2 WHEN {count} <= 15 THEN 3 WHEN {count} = 16 THEN 4 ELSE 5 END",
