@@ -230,6 +230,23 @@ def test_rule_measures(docs, rows):
     assert not any(r.base_failed and r.kept for r in got)
 
 
+def test_ablations_and_other_policies_equal_brute_force(docs):
+    led = rules.stored_ledger(docs, ["doc_id"])
+    bits = [r.fail_bits for r in led.select("fail_bits").collect()]
+    assert len(set(bits)) > 2
+    for version in rules.POLICIES:
+        mask = rules.policy(version)
+        want = set()
+        for rule in rules.RULES:
+            bit = rules.BIT[rule.name]
+            if mask & bit:
+                failed = [b & mask for b in bits]
+                want.add((rule.name, sum(b & bit != 0 for b in failed), failed.count(bit), sum(b & ~bit == 0 for b in failed)))
+        assert {tuple(r) for r in rules.ablations(led, mask).collect()} == want, version
+        kept = Counter(r.kept for r in rules.verdicts(docs, version).collect())
+        assert kept == Counter(b & mask == 0 for b in bits), version
+
+
 def test_kept_documents_match_verdicts(docs):
     kept = rules.kept_documents(docs)
     assert kept.columns == docs.columns
