@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnscope.llm import bpe, credentials, jaccard, neighbours, packing, pii, quality, rules, suffix, wordpiece
+from txnscope.llm import (
+    ballcodes,
+    bpe,
+    centroids,
+    contamination,
+    credentials,
+    jaccard,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    rules,
+    suffix,
+    wordpiece,
+)
 from txnscope.llm.text import read_table
 
 
@@ -57,6 +71,18 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark, read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(spark, read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ballcodes.codes(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -70,5 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_packing,
         op10_nearest_neighbours,
+        op11_centroids,
+        op12_decontamination,
+        op13_vector_codes,
     )
 }
