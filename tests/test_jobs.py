@@ -1,15 +1,12 @@
-"""Command-line jobs and the synthetic producer stream."""
+"""Command-line jobs."""
 
 from __future__ import annotations
 
 import os
-import time
 
 from txnscope import jobs
-from txnscope.sinks.lake import read_cold
-from txnscope.sources.payload import classify_payloads, to_envelope
+from txnscope.sinks.lake import read_cold, read_valid
 from txnscope.streaming.paths import anomaly_table, fraud_table
-from txnscope.streaming.producer import start_producer
 
 from tests.test_streaming import payload, write_file
 
@@ -23,33 +20,22 @@ def test_pipeline_report_compact(spark, tmp_path):
     args = ["pipeline", "--source", "text", "--source-path", src, "--option", "maxFilesPerTrigger=1",
             "--hot", hot, "--lake", lake, "--lake-checkpoint", str(tmp_path / "lake-ckpt"), "--available-now"]
     assert jobs.main(args, spark) == 0
-    assert read_cold(spark, lake).count() == 6
+    assert read_valid(spark, lake).count() == 6
     (rec,) = anomaly_table(hot).latest(spark).collect()
     assert rec.anomaly_flags == ["HIGH_AMOUNT", "HIGH_FREQUENCY"] and rec.transaction_count == 5
     out = str(tmp_path / "reports")
     assert jobs.main(["report", "--lake", lake, "--out", out, "--year", "2026", "--month", "5"], spark) == 0
     assert spark.read.parquet(f"{out}/high_value_txns").count() == 1
     assert spark.read.parquet(f"{out}/top_users").count() == 2
+    plain = str(tmp_path / "plain")
+    again = ["pipeline", "--unscreened", "--source", "text", "--source-path", src, "--hot", str(tmp_path / "hot2"), "--lake", plain,
+             "--lake-checkpoint", str(tmp_path / "plain-ckpt"), "--available-now"]
+    assert jobs.main(again, spark) == 0 and read_cold(spark, plain).count() == 6
+    days = ["--start", "2026-05-28", "--end", "2026-05-29"]
+    assert jobs.main(["compact", "--lake", lake, "--lake-out", str(tmp_path / "days"), *days], spark) == 0
+    assert read_cold(spark, str(tmp_path / "days")).count() == 6
     assert jobs.main(["compact", "--table", hot], spark) == 0
     assert anomaly_table(hot).latest(spark).count() == 1
     assert jobs.main(["fraud", "--source", "text", "--source-path", src, "--table", str(tmp_path / "fraud"),
                       "--available-now"], spark) == 0
     assert fraud_table(str(tmp_path / "fraud")).latest(spark).count() == 2
-
-
-def test_producer_writes_valid_payloads(spark, tmp_path):
-    out = str(tmp_path / "produced")
-    q = start_producer(spark, str(tmp_path / "ckpt"), fmt="text", path=out, rows_per_second=50, trigger="1 second")
-    try:
-        deadline = time.time() + 60
-        while time.time() < deadline:
-            done = sum(p["numInputRows"] for p in q.recentProgress)
-            if done >= 20:
-                break
-            time.sleep(0.5)
-    finally:
-        q.stop()
-    raw = spark.read.text(out)
-    classified = classify_payloads(to_envelope(raw, arrival_time=None))
-    assert classified.count() >= 20
-    assert classified.where("reject_reason IS NOT NULL").count() == 0

@@ -45,6 +45,9 @@ class RuleProfile:
     def with_window(self, window: str) -> "RuleProfile":
         return replace(self, window=window)
 
+    def with_watermark(self, watermark: str) -> "RuleProfile":
+        return replace(self, watermark=watermark)
+
     def with_thresholds(self, **thresholds: float) -> "RuleProfile":
         """Override thresholds by indicator name, e.g. ``is_high_amount=500``."""
         unknown = set(thresholds) - {r.indicator for r in self.rules}

@@ -1,10 +1,15 @@
 """Command-line jobs (``spark-submit txnscope/jobs.py <job> ...`` or ``python -m txnscope.jobs``).
 
-* ``pipeline``  hot path (keyed anomaly table) + cold path (partitioned lake) from one source
+* ``pipeline``  payloads screened into the lake (valid rows and quarantine), hot path (keyed anomaly table) on the valid
+  ones; ``--unscreened`` for hot and cold path straight from the source
 * ``fraud``     rule set B hot path (aggregate table; alerts are a view over it)
+* ``late``      rows that arrive behind the watermark, as a table
+* ``open``      windows still open in a query's state, written as Parquet
 * ``report``    the four monthly analytics over the cold lake, written as Parquet
 * ``compact``   compact a keyed table (live rows only) and/or rewrite closed lake days
-* ``produce``   synthetic transaction stream into Kafka or a folder
+
+Window, watermark, thresholds and triggers are arguments. Streaming jobs print the windows and flagged windows of each
+batch, and rejected payloads, as the batches report them.
 
 Paths must be on shared storage; the checkpoint folder comes from ``spark.checkpoint.dir``.
 Only the driver runs Python: every plan is built from Spark SQL expressions (no UDFs) and
@@ -22,14 +27,16 @@ if __package__ in (None, ""):  # run as a script: make the package importable
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from txnscope.config import ANOMALY, FRAUD  # noqa: E402
+from txnscope.config import ANOMALY, COLD_TRIGGER, FRAUD, HOT_TRIGGER, RuleProfile  # noqa: E402
 from txnscope.operators import analytics  # noqa: E402
 from txnscope.session import STREAMING_STATE_PARTITIONS, is_local, pin_utc, prepare_streaming  # noqa: E402
-from txnscope.sinks.lake import compact_days, read_cold  # noqa: E402
-from txnscope.sources.stream import transaction_stream  # noqa: E402
+from txnscope.sinks.lake import compact_days, read_cold, read_valid  # noqa: E402
+from txnscope.sources.stream import raw_stream, transaction_stream  # noqa: E402
+from txnscope.streaming.late import start_late_rows  # noqa: E402
 from txnscope.streaming.paths import anomaly_table, fraud_table, start_fraud_hot  # noqa: E402
-from txnscope.streaming.producer import start_producer  # noqa: E402
-from txnscope.streaming.runner import PipelineRoots, run_both  # noqa: E402
+from txnscope.streaming.progress import attach_collector  # noqa: E402
+from txnscope.streaming.runner import PipelineRoots, run_both, run_screened  # noqa: E402
+from txnscope.streaming.state import open_windows  # noqa: E402
 
 
 def _source_kwargs(args) -> dict:
@@ -46,6 +53,19 @@ def _add_source(p: argparse.ArgumentParser) -> None:
                    help="state-store partitions, fixed at the first start (e.g. 400)")
 
 
+def _add_profile(p: argparse.ArgumentParser, profile: RuleProfile) -> None:
+    p.add_argument("--window", default=profile.window)
+    p.add_argument("--watermark", default=profile.watermark)
+    p.add_argument("--threshold", action="append", metavar="INDICATOR=NUMBER",
+                   help="one of " + ", ".join(f"{r.indicator}={r.threshold:g}" for r in profile.rules) + " (repeatable)")
+    p.add_argument("--hot-trigger", default=HOT_TRIGGER)
+
+
+def _profile(args, profile: RuleProfile) -> RuleProfile:
+    thresholds = {k: float(v) for k, v in (kv.split("=", 1) for kv in (args.threshold or []))}
+    return profile.with_window(args.window).with_watermark(args.watermark).with_thresholds(**thresholds)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     parser = argparse.ArgumentParser(prog="txnscope")
     sub = parser.add_subparsers(dest="job", required=True)
@@ -55,15 +75,30 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--hot", required=True, help="keyed anomaly table root")
     p.add_argument("--lake", required=True, help="cold table folder")
     p.add_argument("--lake-checkpoint", required=True)
-    p.add_argument("--window", default=ANOMALY.window)
+    p.add_argument("--cold-trigger", default=COLD_TRIGGER)
+    p.add_argument("--unscreened", action="store_true", help="no quarantine: damaged records count as they come")
+    _add_profile(p, ANOMALY)
 
     p = sub.add_parser("fraud")
     _add_source(p)
     p.add_argument("--table", required=True, help="keyed aggregate table root")
-    p.add_argument("--window", default=FRAUD.window)
+    _add_profile(p, FRAUD)
+
+    p = sub.add_parser("late")
+    _add_source(p)
+    p.add_argument("--out", required=True, help="root of the late rows' table")
+    p.add_argument("--fraud", action="store_true", help="windows and watermark of rule set B")
+    p.add_argument("--window")
+    p.add_argument("--trigger", default=COLD_TRIGGER)
+
+    p = sub.add_parser("open")
+    p.add_argument("--table", required=True, help="keyed table root, whose query's state is read")
+    p.add_argument("--fraud", action="store_true")
+    p.add_argument("--out", required=True)
 
     p = sub.add_parser("report")
     p.add_argument("--lake", required=True)
+    p.add_argument("--unscreened", action="store_true", help="the lake was written by an unscreened pipeline")
     p.add_argument("--out", required=True)
     p.add_argument("--year", type=int, required=True)
     p.add_argument("--month", type=int, required=True)
@@ -73,16 +108,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--fraud", action="store_true", help="the table holds fraud aggregates")
     p.add_argument("--lake", help="cold table folder to rewrite")
     p.add_argument("--lake-out", help="target folder for rewritten days")
+    p.add_argument("--unscreened", action="store_true", help="the lake was written by an unscreened pipeline")
     p.add_argument("--start")
     p.add_argument("--end")
 
-    p = sub.add_parser("produce")
-    p.add_argument("--checkpoint", required=True)
-    p.add_argument("--sink", default="kafka")
-    p.add_argument("--path", default=None)
-    p.add_argument("--option", action="append")
-    p.add_argument("--rate", type=int, default=2)
-
     args = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"txnscope-{args.job}").getOrCreate()
     pin_utc(spark)
@@ -91,19 +120,35 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         prepare_streaming(spark)
         if args.state_partitions is None and not is_local(spark):
             args.state_partitions = STREAMING_STATE_PARTITIONS
+        collector = attach_collector(spark, lambda line: print(line, flush=True))
 
     if args.job == "pipeline":
-        profile = ANOMALY.with_window(args.window)
         roots = PipelineRoots(hot=args.hot, cold=args.lake, cold_checkpoint=args.lake_checkpoint)
-        run_both(spark, lambda s: transaction_stream(s, args.source, **_source_kwargs(args)), roots, profile,
-                 available_now=args.available_now, state_partitions=args.state_partitions)
+        settings = {
+            "available_now": args.available_now, "state_partitions": args.state_partitions,
+            "hot_trigger": args.hot_trigger, "cold_trigger": args.cold_trigger,
+        }
+        source = transaction_stream if args.unscreened else raw_stream
+        run = run_both if args.unscreened else run_screened
+        started = run(spark, lambda s: source(s, args.source, **_source_kwargs(args)), roots, _profile(args, ANOMALY), **settings)
+        if args.available_now:
+            for q in started:
+                collector.wait(q)
     elif args.job == "fraud":
         q = start_fraud_hot(transaction_stream(spark, args.source, **_source_kwargs(args)), fraud_table(args.table),
-                            FRAUD.with_window(args.window), available_now=args.available_now, query_name="fraud_hot",
-                            state_partitions=args.state_partitions)
+                            _profile(args, FRAUD), available_now=args.available_now, trigger=args.hot_trigger,
+                            query_name="fraud_hot", state_partitions=args.state_partitions)
+        collector.wait(q)
+    elif args.job == "late":
+        profile = FRAUD if args.fraud else ANOMALY
+        q = start_late_rows(transaction_stream(spark, args.source, **_source_kwargs(args)), args.out, profile, args.window,
+                            available_now=args.available_now, trigger=args.trigger, query_name="late_rows")
         q.awaitTermination()
+    elif args.job == "open":
+        table, profile = (fraud_table(args.table), FRAUD) if args.fraud else (anomaly_table(args.table), ANOMALY)
+        open_windows(spark, table.checkpoint, profile).write.mode("overwrite").parquet(args.out)
     elif args.job == "report":
-        cold = read_cold(spark, args.lake)
+        cold = read_cold(spark, args.lake) if args.unscreened else read_valid(spark, args.lake)
         reports = {
             "high_value_txns": analytics.high_value_txns(cold, year=args.year, month=args.month),
             "top_users": analytics.top_users(cold, year=args.year, month=args.month),
@@ -119,10 +164,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.lake:
             if not (args.lake_out and args.start and args.end):
                 parser.error("--lake needs --lake-out, --start and --end")
-            compact_days(spark, args.lake, args.lake_out, args.start, args.end)
-    elif args.job == "produce":
-        options = dict(kv.split("=", 1) for kv in (args.option or []))
-        start_producer(spark, args.checkpoint, args.sink, options, args.path, args.rate).awaitTermination()
+            compact_days(spark, args.lake, args.lake_out, args.start, args.end, screened=not args.unscreened)
     return 0
 
 

@@ -43,6 +43,13 @@ def with_watermark(df: DataFrame, delay: str | None) -> DataFrame:
     return df
 
 
+def _with_categories(df: DataFrame, profile: RuleProfile) -> DataFrame:
+    """Payloads without a category: the distinct count is 0, as over all-NULL input."""
+    if DISTINCT_CATEGORIES in profile.metrics and "merchant_category" not in df.columns:
+        return df.withColumn("merchant_category", F.lit(None).cast("string"))
+    return df
+
+
 def _grouped(
     df: DataFrame,
     profile: RuleProfile,
@@ -52,10 +59,7 @@ def _grouped(
 ) -> DataFrame:
     duration = window or profile.window
     delay = profile.watermark if watermark is True else (watermark or None)
-    if DISTINCT_CATEGORIES in profile.metrics and "merchant_category" not in df.columns:
-        # Payloads without a category: the distinct count is 0, as over all-NULL input.
-        df = df.withColumn("merchant_category", F.lit(None).cast("string"))
-    src = with_watermark(df, delay)
+    src = with_watermark(_with_categories(df, profile), delay)
     bucket = F.window(EVENT_TIME, duration, slide) if slide else F.window(EVENT_TIME, duration)
     return src.groupBy(bucket.alias("window"), F.col("user_id")).agg(
         *[F.expr(METRIC_SQL[m]).alias(m) for m in profile.metrics]
@@ -64,8 +68,21 @@ def _grouped(
 
 _FLAT = ("window.start AS window_start", "window.end AS window_end", "user_id")
 
-# Metric -> how per-pane partial values merge into a window value (decomposable metrics).
-_PANE_MERGE = {COUNT: "sum", MAX_AMOUNT: "max", MIN_AMOUNT: "min", TOTAL_AMOUNT: "sum"}
+# Metric -> its partial value in a pane, and how the panes of a window merge. Distinct counts are kept as sketches,
+# which merge without counting a category of two panes twice; totals stay exact decimals until the last step.
+PANE_SQL = METRIC_SQL | {
+    TOTAL_AMOUNT: "sum(TRY_CAST(amount AS DECIMAL(28,10)))",
+    DISTINCT_CATEGORIES: "hll_sketch_agg(merchant_category)",
+}
+PANE_MERGE_SQL = {
+    COUNT: f"sum({COUNT})",
+    MAX_AMOUNT: f"max({MAX_AMOUNT})",
+    MIN_AMOUNT: f"min({MIN_AMOUNT})",
+    TOTAL_AMOUNT: f"CAST(sum({TOTAL_AMOUNT}) AS DOUBLE)",
+    DISTINCT_CATEGORIES: f"hll_sketch_estimate(hll_union_agg({DISTINCT_CATEGORIES}))",
+}
+# Panes are merged in groups of at least so many window starts, so that no task holds all panes of a user.
+_GROUP_STARTS = 64
 _UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
                 "week": 604_800_000_000}
 
@@ -80,8 +97,8 @@ def _micros(duration: str) -> int | None:
 
 
 def _pane_plan_applies(df: DataFrame, profile: RuleProfile, duration: str, slide: str | None) -> int | None:
-    """Windows per pane when the batch pane plan gives the same result, else None."""
-    if df.isStreaming or not slide or any(m not in _PANE_MERGE for m in profile.metrics):
+    """Panes per window when the batch pane plan gives the same result, else None."""
+    if df.isStreaming or not slide or any(m not in PANE_MERGE_SQL for m in profile.metrics):
         return None
     size, step = _micros(duration), _micros(slide)
     if not size or not step or size <= step or size % step:
@@ -96,29 +113,37 @@ def _sliding_by_panes(df: DataFrame, profile: RuleProfile, duration: str, slide:
     windows before the map-side aggregate, so with sparse users about that many rows per
     event cross the shuffle. Here rows are first aggregated per (pane, user), with a
     map-side partial aggregate, so a user holding a third of all rows collapses to one row
-    per task and pane. Panes are then hash-partitioned by user, and each pane is expanded
-    into the windows that contain it and merged inside the partition: grouping by
-    (window, user) is already satisfied by the user partitioning, so there is no third
-    exchange. A user's partition holds at most one row per pane of the time range, however
-    many transactions the user has. Count, max, min and sum merge exactly.
+    per task and pane. Panes are then hash-partitioned by user and group of window starts;
+    a pane whose windows start in two groups goes to both. Each pane is expanded into its
+    windows of the group and merged inside the partition: the grouping is already satisfied,
+    so there is no third exchange. A task holds a bounded number of panes of a user, however
+    many transactions the user has and however long the time range is. Count, max, min and
+    total merge exactly, distinct counts through their sketches.
     """
     step = _micros(slide)
+    starts = f"({max(_GROUP_STARTS, 16 * per_pane) * step}L)"
     panes = (
-        df.groupBy(F.window(EVENT_TIME, slide).alias("pane"), F.col("user_id"))
-        .agg(*[F.expr(METRIC_SQL[m]).alias(m) for m in profile.metrics])
-        .repartition("user_id")
-    )
-    expanded = panes.selectExpr(
-        "user_id", *profile.metrics, "pane.start AS pane_start", f"explode(sequence(0, {per_pane - 1})) AS k"
-    ).selectExpr(
-        "user_id", *profile.metrics, f"timestamp_micros(unix_micros(pane_start) - k * {step}) AS window_start"
+        _with_categories(df, profile)
+        .groupBy(F.window(EVENT_TIME, slide).alias("pane"), F.col("user_id"))
+        .agg(*[F.expr(PANE_SQL[m]).alias(m) for m in profile.metrics])
+        .selectExpr("user_id", *profile.metrics, "unix_micros(pane.start) AS pane_start")
     )
-    merged = expanded.groupBy("window_start", "user_id").agg(
-        *[F.expr(f"{_PANE_MERGE[m]}({m})").alias(m) for m in profile.metrics]
+    grouped = panes.selectExpr(
+        "*",
+        f"explode(sequence(CAST(floor((pane_start - {(per_pane - 1) * step}L) / {starts}) AS BIGINT), "
+        f"CAST(floor(pane_start / {starts}) AS BIGINT))) AS starts",
+    ).repartition("user_id", "starts")
+    expanded = grouped.selectExpr(
+        "user_id", "starts", *profile.metrics, f"explode(sequence(0, {per_pane - 1})) AS k", "pane_start"
+    ).selectExpr("user_id", "starts", *profile.metrics, f"pane_start - k * {step}L AS window_micros")
+    merged = (
+        expanded.where(f"CAST(floor(window_micros / {starts}) AS BIGINT) = starts")
+        .groupBy("user_id", "starts", "window_micros")
+        .agg(*[F.expr(PANE_MERGE_SQL[m]).alias(m) for m in profile.metrics])
     )
     return merged.selectExpr(
-        "window_start",
-        f"timestamp_micros(unix_micros(window_start) + {per_pane * step}) AS window_end",
+        "timestamp_micros(window_micros) AS window_start",
+        f"timestamp_micros(window_micros + {per_pane * step}L) AS window_end",
         "user_id",
         *profile.metrics,
     )
@@ -160,6 +185,30 @@ def aggregate(
     return grouped.selectExpr(*_FLAT, *profile.metrics, *rule_columns_sql(profile))
 
 
+def sliding_stream(df: DataFrame, profile: RuleProfile, window: str, slide: str) -> DataFrame:
+    """Sliding windows on a stream, from panes: two chained stateful aggregations, for append mode.
+
+    The first seals panes (tumbling windows of one slide) as the watermark passes them; the second merges sealed
+    panes into the windows that contain them. A row is kept once per pane instead of once per window, and each
+    window costs one update per pane instead of one per row. Windows come out once, when the watermark passes
+    their end, like those of one aggregation; ``window`` must be a whole number of slides.
+    """
+    size, step = _micros(window), _micros(slide)
+    if not size or not step or size % step:
+        raise ValueError(f"{window} is no whole number of {slide}")
+    panes = (
+        with_watermark(_with_categories(df, profile), profile.watermark)
+        .groupBy(F.window(EVENT_TIME, slide), F.col("user_id"))
+        .agg(*[F.expr(PANE_SQL[m]).alias(m) for m in profile.metrics])
+    )
+    # a pane's time is its last instant: no window ends between the two
+    placed = panes.select(F.window_time("window").alias("pane_time"), "user_id", *profile.metrics)
+    merged = placed.groupBy(F.window("pane_time", window, slide), F.col("user_id")).agg(
+        *[F.expr(PANE_MERGE_SQL[m]).alias(m) for m in profile.metrics]
+    )
+    return merged.selectExpr(*_FLAT, *profile.metrics, *rule_columns_sql(profile))
+
+
 def flagged(df: DataFrame, profile: RuleProfile) -> DataFrame:
     """Keep windows where the profile fired (NULL counts as not fired)."""
     return df.where(profile.flagged)

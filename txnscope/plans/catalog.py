@@ -11,11 +11,13 @@ the session's shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from txnscope.config import ANOMALY, FRAUD
 from txnscope.functions.rules import flag_list_sql
@@ -25,11 +27,10 @@ from txnscope.operators.windows import aggregate
 from txnscope.schemas import ANOMALY_RECORD, PAYLOAD, PAYLOAD_FIELDS
 from txnscope.session import pin_utc, scratch_path
 from txnscope.sinks.keyed import hadoop_path
-from txnscope.sinks.lake import read_cold, write_cold
+from txnscope.sinks.lake import read_catalog, read_cold, read_rejects, register_table, write_cold
 from txnscope.sources.events import (
     events_as_transactions,
     load_transactions,
-    read_events,
     read_events_stream,
 )
 from txnscope.sources.payload import (
@@ -41,7 +42,8 @@ from txnscope.sources.payload import (
     read_routed,
     valid_payloads,
 )
-from txnscope.sources.synth import synth_transactions
+from txnscope.sources.replay import deal_out, hold_back, release, replay_stream, with_steps
+from txnscope.streaming.late import read_late, start_late_rows
 from txnscope.streaming.paths import (
     anomaly_table,
     fraud_table,
@@ -51,7 +53,11 @@ from txnscope.streaming.paths import (
     start_fraud_hot,
     start_hot,
     start_quarantine,
+    start_sliding,
 )
+from txnscope.streaming.progress import ProgressCollector, attach_collector, observe_transactions
+from txnscope.streaming.runner import PipelineRoots, run_screened
+from txnscope.streaming.state import open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,6 +189,11 @@ def q_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_fraud_sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = aggregate(_txns(spark, sf_dir), FRAUD, SLIDING_WINDOW, slide=SLIDING_SLIDE)
+    return for_compare(w, WINDOW_TS)
+
+
 # ------------------------------------------------------------------------- cold table
 def q_cold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(cold_table(spark, sf_dir), TXN_TS)
@@ -210,10 +221,23 @@ def q_top_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.top_merchants(cold_table(spark, sf_dir), year=REPORT_YEAR)
 
 
-def q_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_txn_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.stream_stats(_txns(spark, sf_dir))
 
 
+def q_cold_catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cold table by its catalog name; its last day is added after the table was registered."""
+    root = scratch_path(spark, "catalog")
+    txns = _txns(spark, sf_dir)
+    day = F.to_date("event_timestamp")
+    last = txns.agg(F.max(day).alias("d")).first()["d"]
+    write_cold(txns.where(day.isNull() | (day < F.lit(last))), f"{root}/lake")
+    database = "txns_" + root.rsplit("-", 1)[1]
+    table = register_table(spark, f"{root}/lake", database=database, database_location=f"{root}/database")
+    write_cold(txns.where(day == F.lit(last)), f"{root}/lake")
+    return for_compare(read_catalog(spark, table), TXN_TS)
+
+
 # ---------------------------------------------------------------------------- serving
 def q_serving_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(
@@ -305,10 +329,6 @@ def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(quarantined_payloads(classify_payloads(_mixed_envelope(spark, sf_dir))), ("arrival_time",))
 
 
-def q_synth_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth_transactions(read_events(spark, sf_dir), row_id="event_id", event_time="ts")
-
-
 # -------------------------------------------------------------------------- streaming
 def q_stream_cold_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
@@ -365,6 +385,147 @@ def q_stream_valid_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(valid, TXN_TS)
 
 
+def q_stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that the cold path's batches report while they run."""
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-stats")
+    txns = observe_transactions(events_as_transactions(read_events_stream(spark, sf_dir)))
+    with _collected(spark) as collector:
+        collector.wait(start_cold(txns, f"{root}/table", f"{root}/checkpoint", available_now=True))
+        return collector.frame(spark)
+
+
+@contextmanager
+def _collected(spark: SparkSession) -> Iterator[ProgressCollector]:
+    collector = attach_collector(spark)
+    try:
+        yield collector
+    finally:
+        spark.streams.removeListener(collector)
+
+
+# Screening and replays. The damaged records of the screened runs are those of DAMAGED_SQL.
+def _screened(spark: SparkSession, sf_dir: str) -> PipelineRoots:
+    """The pipeline job's screened run over the damaged payloads."""
+    pin_utc(spark)
+    root = scratch_path(spark, "screened")
+    roots = PipelineRoots(hot=f"{root}/hot", cold=f"{root}/lake", cold_checkpoint=f"{root}/lake-checkpoint")
+    run_screened(
+        spark, lambda s: _damaged_envelope(events_as_transactions(read_events_stream(s, sf_dir))), roots,
+        ANOMALY.with_window(DAY), available_now=True, state_partitions=_state_partitions(spark), as_of="window_end",
+    )
+    return roots
+
+
+def q_stream_anomalies_screened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roots = _screened(spark, sf_dir)
+    return for_compare(anomaly_table(roots.hot).latest(spark), joined=("anomaly_flags",))
+
+
+def q_stream_screened_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return for_compare(read_rejects(spark, _screened(spark, sf_dir).cold), ("arrival_time",))
+
+
+# Out-of-order replays, by record number: some a step late, which windows still take, some two, behind the watermark.
+ONE_STEP_LATE_SQL = "CASE WHEN CAST(transaction_id AS BIGINT) % 13 = 6 THEN 1 ELSE 0 END"
+TWO_STEPS_LATE_SQL = "CASE CAST(transaction_id AS BIGINT) % 13 WHEN 6 THEN 1 WHEN 5 THEN 2 ELSE 0 END"
+
+
+def _dealt(spark: SparkSession, sf_dir: str, delay_sql: str) -> tuple[str, list[int]]:
+    path = scratch_path(spark, "replay")
+    return path, deal_out(with_steps(_txns(spark, sf_dir), delay_sql), path)
+
+
+def q_stream_anomalies_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = _dealt(spark, sf_dir, ONE_STEP_LATE_SQL)
+    table = anomaly_table(scratch_path(spark, "replayed-hot"))
+    start_hot(
+        replay_stream(spark, path), table, ANOMALY, window=DAY, as_of="window_end", available_now=True,
+        state_partitions=_state_partitions(spark),
+    ).awaitTermination()
+    return for_compare(table.latest(spark), joined=("anomaly_flags",))
+
+
+def _replayed_final(spark: SparkSession, sf_dir: str) -> str:
+    path, _ = _dealt(spark, sf_dir, TWO_STEPS_LATE_SQL)
+    root = scratch_path(spark, "replayed-final")
+    start_final(
+        replay_stream(spark, path), f"{root}/table", f"{root}/checkpoint", ANOMALY, window=DAY, as_of="window_end",
+        available_now=True, state_partitions=_state_partitions(spark),
+    ).awaitTermination()
+    return root
+
+
+def q_stream_final_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _replayed_final(spark, sf_dir)
+    return for_compare(spark.read.schema(ANOMALY_RECORD).parquet(f"{root}/table"), joined=("anomaly_flags",))
+
+
+def q_stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return for_compare(open_windows(spark, f"{_replayed_final(spark, sf_dir)}/checkpoint", ANOMALY), WINDOW_TS)
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = _dealt(spark, sf_dir, TWO_STEPS_LATE_SQL)
+    root = scratch_path(spark, "late")
+    start_late_rows(replay_stream(spark, path), root, ANOMALY, window=DAY, available_now=True).awaitTermination()
+    return for_compare(read_late(spark, root), (*TXN_TS, *WINDOW_TS, "watermark"))
+
+
+def q_stream_batch_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = _dealt(spark, sf_dir, TWO_STEPS_LATE_SQL)
+    table = anomaly_table(scratch_path(spark, "flags-hot"))
+    with _collected(spark) as collector:
+        collector.wait(
+            start_hot(
+                replay_stream(spark, path), table, ANOMALY, window=DAY, as_of="window_end", available_now=True,
+                query_name="batch_flags_" + table.root.rsplit("-", 1)[1], state_partitions=_state_partitions(spark),
+            )
+        )
+        return collector.batches_frame(spark, f"{ANOMALY.name}_windows").drop("query")
+
+
+def _resumed(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Two starts on one checkpoint: the second finds the later half of the files as well."""
+    path, steps = _dealt(spark, sf_dir, ONE_STEP_LATE_SQL)
+    held, later = scratch_path(spark, "held"), steps[len(steps) // 2 :]
+    hold_back(spark, path, held, later)
+    start(replay_stream(spark, path)).awaitTermination()
+    release(spark, held, path, later)
+    start(replay_stream(spark, path)).awaitTermination()
+
+
+def q_stream_cold_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "resumed-cold")
+    _resumed(spark, sf_dir, lambda txns: start_cold(txns, f"{root}/table", f"{root}/checkpoint", available_now=True))
+    return for_compare(read_cold(spark, f"{root}/table"), TXN_TS)
+
+
+def q_stream_anomalies_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = anomaly_table(scratch_path(spark, "resumed-hot"))
+    _resumed(
+        spark,
+        sf_dir,
+        lambda txns: start_hot(
+            txns, table, ANOMALY, window=DAY, as_of="window_end", available_now=True, state_partitions=_state_partitions(spark)
+        ),
+    )
+    return for_compare(table.latest(spark), joined=("anomaly_flags",))
+
+
+def q_stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    root = scratch_path(spark, "stream-sliding")
+    txns = events_as_transactions(read_events_stream(spark, sf_dir))
+    start_sliding(
+        txns, f"{root}/table", f"{root}/checkpoint", ANOMALY, SLIDING_WINDOW, SLIDING_SLIDE, available_now=True,
+        state_partitions=_state_partitions(spark),
+    ).awaitTermination()
+    w = spark.read.parquet(f"{root}/table")
+    columns = ("window_start", "window_end", "user_id", "transaction_count", "max_amount")
+    return for_compare(w.selectExpr(*columns, f"{flag_list_sql(ANOMALY)} AS anomaly_flags", "is_anomaly"), WINDOW_TS, ("anomaly_flags",))
+
+
 QUERIES: dict[str, Query] = {
     "anomaly_windows": q_anomaly_windows,
     "anomaly_windows_1min": q_anomaly_windows_1min,
@@ -381,6 +542,9 @@ QUERIES: dict[str, Query] = {
     "top_users": q_top_users,
     "hourly_volume": q_hourly_volume,
     "top_merchants": q_top_merchants,
+    "txn_stats": q_txn_stats,
+    "fraud_sliding_windows": q_fraud_sliding_windows,
+    "cold_catalog_scan": q_cold_catalog_scan,
     "stream_stats": q_stream_stats,
     "serving_feed": q_serving_feed,
     "kpi_summary": q_kpi_summary,
@@ -392,10 +556,19 @@ QUERIES: dict[str, Query] = {
     "decode_payload": q_decode_payload,
     "valid_txns": q_valid_txns,
     "quarantine": q_quarantine,
-    "synth_transactions": q_synth_transactions,
     "stream_cold_path": q_stream_cold_path,
     "stream_anomalies": q_stream_anomalies,
     "stream_anomalies_final": q_stream_anomalies_final,
     "stream_fraud_alerts": q_stream_fraud_alerts,
     "stream_valid_txns": q_stream_valid_txns,
+    "stream_anomalies_screened": q_stream_anomalies_screened,
+    "stream_screened_rejects": q_stream_screened_rejects,
+    "stream_anomalies_replayed": q_stream_anomalies_replayed,
+    "stream_final_replayed": q_stream_final_replayed,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_open_windows": q_stream_open_windows,
+    "stream_batch_flags": q_stream_batch_flags,
+    "stream_cold_resumed": q_stream_cold_resumed,
+    "stream_anomalies_resumed": q_stream_anomalies_resumed,
+    "stream_sliding": q_stream_sliding,
 }

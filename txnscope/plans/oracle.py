@@ -39,12 +39,12 @@ def _iso_utc(c: str) -> str:
     return f"({_iso_local(c)} || '+00:00')"
 
 
-def _windows(name: str, interval: str, metrics: str) -> str:
+def _windows(name: str, interval: str, metrics: str, source: str = "txn") -> str:
     return f"""{name} AS (
   SELECT time_bucket(INTERVAL '{interval}', event_timestamp) AS window_start,
          time_bucket(INTERVAL '{interval}', event_timestamp) + INTERVAL '{interval}' AS window_end,
          user_id, {metrics}
-  FROM txn WHERE event_timestamp IS NOT NULL
+  FROM {source} WHERE event_timestamp IS NOT NULL
   GROUP BY 1, 2, 3
 )"""
 
@@ -211,20 +211,51 @@ parsed AS (
 )"""
 
 
-def _sliding() -> str:
+def _sliding(metrics: str = "count(*) AS transaction_count, max(amount) AS max_amount") -> str:
     return f"""sw AS (
   SELECT time_bucket(INTERVAL '1 minute', event_timestamp) - k * INTERVAL '1 minute' AS window_start,
-         user_id, amount
+         user_id, amount, merchant_category
   FROM txn CROSS JOIN range(0, 5) AS r(k)
   WHERE event_timestamp IS NOT NULL
 ),
 win AS (
-  SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, user_id,
-         count(*) AS transaction_count, max(amount) AS max_amount
+  SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, user_id, {metrics}
   FROM sw GROUP BY 1, 2, 3
 )"""
 
 
+# Transactions dealt out over the replay's batches (steps that have rows, numbered), and the rows of windows of a day
+# that had ended by the watermark of the batch before theirs.
+def _replay(delay: str) -> str:
+    return f"""bounds AS (
+  SELECT min(epoch_us(event_timestamp)) AS low, max(epoch_us(event_timestamp)) AS high,
+         greatest(6, CAST(ceil(count(*) / 1000000.0) AS BIGINT)) AS steps
+  FROM txn
+),
+stepped AS (
+  SELECT txn.*, least(steps - 1, coalesce((steps * (epoch_us(event_timestamp) - low)) // (high - low + 1), 0) + {delay}) AS step
+  FROM txn, bounds
+),
+dealt AS (SELECT *, dense_rank() OVER (ORDER BY step) - 1 AS batch FROM stepped),
+highs AS (SELECT batch, max(event_timestamp) AS high FROM dealt GROUP BY batch),
+marks AS (
+  SELECT b.batch, date_trunc('milliseconds', max(h.high)) - INTERVAL '{ANOMALY.watermark}' AS mark
+  FROM highs b LEFT JOIN highs h ON h.batch <= b.batch - 2 GROUP BY b.batch
+),
+placed AS (
+  SELECT dealt.*, time_bucket(INTERVAL '1 day', event_timestamp) AS window_start,
+         time_bucket(INTERVAL '1 day', event_timestamp) + INTERVAL '1 day' AS window_end, mark
+  FROM dealt JOIN marks USING (batch)
+),
+intime AS (SELECT * FROM placed WHERE mark IS NULL OR window_end > mark)"""
+
+
+TWO_STEPS_LATE = "CASE CAST(transaction_id AS BIGINT) % 13 WHEN 6 THEN 1 WHEN 5 THEN 2 ELSE 0 END"
+SEALED = f"(SELECT max(event_timestamp) FROM txn) - INTERVAL '{ANOMALY.watermark}'"
+SCREENED = "screened AS (SELECT * FROM txn WHERE CAST(transaction_id AS BIGINT) % 17 NOT IN (3, 5, 7))"
+NO_EDGES = "edge(raw, arrival_time) AS (SELECT CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP) WHERE false)"
+
+
 FRAUD_ALERTS_SQL = (
     _with(TXN, WIN_B_DAY, FRAUD_AGGS)
     + "SELECT pk || '#' || sk AS alert_id, user_id, window_start, window_end, transaction_count, "
@@ -271,6 +302,39 @@ ORACLE: dict[str, str] = {
     "top_merchants": _with(TXN)
     + "SELECT merchant, count(*) AS txn_count, round(avg(amount), 2) AS avg_amount, max(amount) AS max_amount "
     f"FROM txn WHERE year(event_timestamp) = 2024 GROUP BY merchant ORDER BY txn_count DESC, merchant LIMIT 20",
+    "fraud_sliding_windows": _with(TXN, _sliding(B_METRICS))
+    + "SELECT window_start, window_end, user_id, transaction_count, total_amount, max_amount, min_amount, distinct_merchant_categories, "
+    f"(max_amount > {_B_AMOUNT}) AS is_high_amount, (transaction_count > {_B_COUNT}) AS is_high_frequency, "
+    f"(total_amount > {_B_TOTAL}) AS is_high_total_spend, {B_FRAUD} AS is_fraud FROM win",
+    "cold_catalog_scan": _with(TXN) + f"SELECT {COLD_COLUMNS} FROM txn",
+    "stream_anomalies_screened": _with(TXN, SCREENED, _windows("win", "1 day", A_METRICS, "screened"), RECORDS)
+    + f"SELECT {RECORD_COLUMNS} FROM rec",
+    "stream_screened_rejects": _with(TXN, ENCODED, DAMAGED, NO_EDGES, CLASSIFIED)
+    + "SELECT raw, arrival_time, reject_reason FROM parsed WHERE reject_reason IS NOT NULL",
+    "stream_anomalies_replayed": _with(TXN, WIN_A_DAY, RECORDS) + f"SELECT {RECORD_COLUMNS} FROM rec",
+    "stream_final_replayed": _with(TXN, _replay(TWO_STEPS_LATE), _windows("win", "1 day", A_METRICS, "intime"), RECORDS)
+    + f"SELECT {RECORD_COLUMNS} FROM rec WHERE _detected <= {SEALED}",
+    "stream_open_windows": _with(TXN, _replay(TWO_STEPS_LATE), _windows("win", "1 day", A_METRICS, "intime"))
+    + f"SELECT window_start, window_end, user_id, transaction_count, max_amount, {A_FLAGS} FROM win WHERE window_end > {SEALED}",
+    "stream_late_rows": _with(TXN, _replay(TWO_STEPS_LATE))
+    + "SELECT transaction_id, user_id, amount, merchant, merchant_category, arrival_time, event_timestamp, window_start, "
+    "window_end, mark AS watermark, CAST(batch AS BIGINT) AS batch_id FROM placed WHERE window_end <= mark",
+    "stream_batch_flags": _with(TXN, _replay(TWO_STEPS_LATE))
+    + """, touched AS (
+  SELECT batch, window_start, user_id, count(*) AS n, max(amount) AS m FROM intime GROUP BY ALL
+), running AS (
+  SELECT batch, sum(n) OVER (PARTITION BY window_start, user_id ORDER BY batch) AS n,
+         max(m) OVER (PARTITION BY window_start, user_id ORDER BY batch) AS m
+  FROM touched
+)
+"""
+    + "SELECT CAST(batch AS BIGINT) AS batch_id, count(*) AS windows, "
+    f"count(*) FILTER (WHERE m > {_A_AMOUNT} OR n > {_A_COUNT}) AS flagged FROM running GROUP BY batch",
+    "stream_cold_resumed": _with(TXN) + f"SELECT {COLD_COLUMNS} FROM txn",
+    "stream_anomalies_resumed": _with(TXN, WIN_A_DAY, RECORDS) + f"SELECT {RECORD_COLUMNS} FROM rec",
+    "stream_sliding": _with(TXN, _sliding())
+    + f"SELECT window_start, window_end, user_id, transaction_count, max_amount, {A_FLAG_LIST} AS anomaly_flags, "
+    f"((max_amount > {_A_AMOUNT}) OR (transaction_count > {_A_COUNT})) AS is_anomaly FROM win WHERE window_end <= {SEALED}",
     "stream_stats": _with(TXN)
     + f"SELECT count(*) AS total_sent, count(*) FILTER (WHERE amount > {_A_AMOUNT}) AS total_anomalies, "
     f"round(100.0 * count(*) FILTER (WHERE amount > {_A_AMOUNT}) / count(*), 2) AS pct_anomalies FROM txn",
@@ -312,3 +376,4 @@ ORACLE: dict[str, str] = {
     "stream_fraud_alerts": FRAUD_ALERTS_SQL,
     "stream_valid_txns": DECODED_SQL + " WHERE CAST(transaction_id AS BIGINT) % 17 NOT IN (3, 5, 7)",
 }
+ORACLE["txn_stats"] = ORACLE["stream_stats"]

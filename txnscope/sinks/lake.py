@@ -66,6 +66,39 @@ def read_cold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COLD_SCHEMA).parquet(path)
 
 
+def read_catalog(spark: SparkSession, table: str) -> DataFrame:
+    """The cold table by its catalog name (:func:`register_table`), after its partitions are found anew.
+
+    Partition filters on the result are answered by the catalog, so only matching folders are listed.
+    """
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    return spark.table(table).select(*[f.name for f in COLD_SCHEMA.fields])
+
+
+# Layout of a screened lake: valid transactions and rejects of one write, ``status`` above the date folders.
+SCREENED_SCHEMA = T.StructType(
+    [
+        T.StructField("raw", T.StringType(), True),
+        *TRANSACTION.fields,
+        T.StructField("reject_reason", T.StringType(), True),
+        T.StructField("status", T.StringType(), True),
+        *[T.StructField(c, T.IntegerType(), True) for c in PARTITION_COLUMNS],
+    ]
+)
+
+
+def read_valid(spark: SparkSession, path: str) -> DataFrame:
+    """Valid transactions of a screened lake, as :func:`read_cold` returns them; rejects' folders are not read."""
+    table = spark.read.schema(SCREENED_SCHEMA).parquet(path)
+    return table.where("status = 'valid'").select(*[f.name for f in COLD_SCHEMA.fields])
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected payloads of a screened lake: raw text, arrival time and reason."""
+    table = spark.read.schema(SCREENED_SCHEMA).parquet(path)
+    return table.where("status = 'rejected'").select("raw", "arrival_time", "reject_reason")
+
+
 def _as_date(value: date | datetime | str) -> Column:
     return F.to_date(F.lit(str(value)[:10]))
 
@@ -124,18 +157,20 @@ def compact_days(
     start: date | datetime | str,
     end: date | datetime | str,
     max_records_per_file: int | None = 5_000_000,
+    screened: bool = False,
 ) -> None:
     """Rewrite closed days of a streaming cold table into fewer, larger files at ``target``.
 
     Streaming triggers leave many small files per day. The copy is range-partitioned on
     (date, event time) so a day with a third of all rows is split over many tasks by
     sampled boundaries rather than hashed into one. Only whole days are taken: a bound inside a
-    day would replace that day's partition at ``target`` by a part of it.
+    day would replace that day's partition at ``target`` by a part of it. Rows without an event
+    time belong to no day and stay where they are; of a ``screened`` lake valid rows are taken.
     """
     for bound in (start, end):
         if datetime.fromisoformat(str(bound)).time() != time.min:
             raise ValueError(f"compaction takes whole days, not {bound}")
-    rows = cold_range(read_cold(spark, path), start, end)
+    rows = cold_range(read_valid(spark, path) if screened else read_cold(spark, path), start, end)
     # Range partitions sized by AQE (advisory partition size), not a fixed count.
     laid_out = rows.repartitionByRange(*PARTITION_COLUMNS, "event_timestamp")
     write_cold(laid_out, target, mode="overwrite", max_records_per_file=max_records_per_file)

@@ -12,17 +12,17 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from txnscope.config import ANOMALY, COLD_TRIGGER, COUNT, FRAUD, HOT_TRIGGER, MAX_AMOUNT, RuleProfile
 from txnscope.operators.records import alert_expiry_sql, anomaly_records, fraud_aggregates, fraud_alerts
-from txnscope.operators.windows import aggregate
+from txnscope.operators.windows import aggregate, sliding_stream
 from txnscope.schemas import ANOMALY_RECORD, FRAUD_AGGREGATE, PARTITION_COLUMNS, TRANSACTION_COLUMNS
 from txnscope.sinks.keyed import KeyedTable, unexpired
-from txnscope.sinks.lake import with_partition_columns
-from txnscope.sources.payload import STATUS_REJECTED, STATUS_VALID, classify_payloads, with_category
+from txnscope.sinks.lake import SCREENED_SCHEMA, with_partition_columns
+from txnscope.sources.payload import STATUS_REJECTED, STATUS_VALID, classify_payloads, valid_payloads, with_category
 
 
 def _trigger(writer: DataStreamWriter, interval: str, available_now: bool) -> DataStreamWriter:
@@ -30,25 +30,35 @@ def _trigger(writer: DataStreamWriter, interval: str, available_now: bool) -> Da
 
 
 @contextmanager
-def _shuffle_partitions(spark, n: int | None):
-    """Shuffle (= state store) partitions for a query being started.
+def _set(spark, **settings: str):
+    """Session settings for a query being started, which keeps its own copy; they are restored afterwards."""
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _starting(spark, state_partitions: int | None = None, update: bool = False):
+    """Settings of a stateful query's start: its state partitions; in ``update`` mode no batches without data.
 
     A stateful query fixes its state partition count at its first start (later starts
     read it from the checkpoint). Batch jobs want thousands of shuffle partitions at 100 TB,
     but a 10-second micro-batch with thousands of state-store tasks is mostly overhead,
-    so streaming queries take their own count. The session setting is restored after
-    ``start()``; the running query keeps its own copy.
+    so streaming queries take their own count.
+
+    A batch without data only evicts windows that the watermark has passed. In update mode it
+    emits nothing, so its empty write is spared: the next batch with data evicts them.
     """
-    if n is None:
-        yield
-        return
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    settings = {}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if update:
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    return _set(spark, **settings)
 
 
 def observe_windows(windows: DataFrame, profile: RuleProfile) -> DataFrame:
@@ -108,7 +118,7 @@ def start_hot(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    with _shuffle_partitions(txns.sparkSession, state_partitions):
+    with _starting(txns.sparkSession, state_partitions, update=True):
         return _trigger(writer, trigger, available_now).start()
 
 
@@ -140,7 +150,7 @@ def start_fraud_hot(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    with _shuffle_partitions(txns.sparkSession, state_partitions):
+    with _starting(txns.sparkSession, state_partitions, update=True):
         return _trigger(writer, trigger, available_now).start()
 
 
@@ -168,7 +178,7 @@ def start_final(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    with _shuffle_partitions(txns.sparkSession, state_partitions):
+    with _starting(txns.sparkSession, state_partitions):
         return _trigger(writer, trigger, available_now).start()
 
 
@@ -232,3 +242,76 @@ def start_quarantine(
     if query_name:
         writer = writer.queryName(query_name)
     return _trigger(writer, trigger, available_now).start()
+
+
+def start_intake(
+    envelope: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    trigger: str = COLD_TRIGGER,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Screen every payload once and append it to the screened lake
+    ``path/status=valid|rejected/year=Y/month=M/day=D``.
+
+    One parse serves three readers: the cold table (``sinks.lake.read_valid``), the quarantine
+    (``sinks.lake.read_rejects``) and, as a stream, the hot path (:func:`screened_stream`). Dates are those of the
+    event time, of the arrival for rejects, whose event time may be anything. There is no shuffle.
+    """
+    classified = classify_payloads(envelope)
+    valid = F.col("reject_reason").isNull()
+    rows = classified.withColumn("status", F.when(valid, F.lit(STATUS_VALID)).otherwise(F.lit(STATUS_REJECTED)))
+    rows = rows.withColumn("_day", F.when(valid, F.col("event_timestamp")).otherwise(F.col("arrival_time")))
+    # the text of a valid record is in its fields
+    rows = rows.withColumn("raw", F.when(~valid, F.col("raw")))
+    writer = (
+        with_partition_columns(rows, "_day")
+        .select(*[f.name for f in SCREENED_SCHEMA.fields])
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .option("compression", "snappy")
+        .partitionBy("status", *PARTITION_COLUMNS)
+    )
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, trigger, available_now).start()
+
+
+def screened_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Valid transactions of a screened lake as a stream: what the intake has committed, in its order.
+
+    Rejects' files are pruned by their partition, and no record is parsed again. ``path`` must be there, if empty.
+    """
+    reader = spark.readStream.schema(SCREENED_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return valid_payloads(reader.parquet(path).where(F.col("status") == STATUS_VALID))
+
+
+def start_sliding(
+    txns: DataFrame,
+    path: str,
+    checkpoint: str,
+    profile: RuleProfile,
+    window: str,
+    slide: str,
+    available_now: bool = False,
+    trigger: str = HOT_TRIGGER,
+    query_name: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Sealed sliding windows (``operators.windows.sliding_stream``), appended to a Parquet folder."""
+    writer = (
+        sliding_stream(txns, profile, window, slide)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    if query_name:
+        writer = writer.queryName(query_name)
+    with _starting(txns.sparkSession, state_partitions):
+        return _trigger(writer, trigger, available_now).start()
