@@ -11,7 +11,7 @@ from txnscope.streaming.paths import anomaly_table, fraud_table
 from tests.test_streaming import payload, write_file
 
 
-def test_pipeline_report_compact(spark, tmp_path):
+def test_pipeline_report_compact(spark, tmp_path, capsys):
     src = str(tmp_path / "src")
     os.makedirs(src)
     write_file(src, "a.json", [payload(str(i), "u1", f"12:00:0{i}", 2500.0 if i == 0 else 5.0) for i in range(5)], 1)
@@ -34,8 +34,13 @@ def test_pipeline_report_compact(spark, tmp_path):
     days = ["--start", "2026-05-28", "--end", "2026-05-29"]
     assert jobs.main(["compact", "--lake", lake, "--lake-out", str(tmp_path / "days"), *days], spark) == 0
     assert read_cold(spark, str(tmp_path / "days")).count() == 6
-    assert jobs.main(["compact", "--table", hot], spark) == 0
-    assert anomaly_table(hot).latest(spark).count() == 1
+    compact = ["compact", "--table", hot, "--new-base", "jobs_base", "--new-base-path", str(tmp_path / "base"), "--buckets", "2"]
+    assert jobs.main(compact, spark) == 0
+    assert "--base jobs_base --base-batch 0" in capsys.readouterr().out
+    feed = ["feed", "--table", hot, "--base", "jobs_base", "--base-batch", "0", "--out", str(tmp_path / "feed")]
+    assert jobs.main(feed, spark) == 0
+    assert spark.read.parquet(str(tmp_path / "feed" / "serving_feed")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "feed" / "kpi_summary")).first().total == 1
     assert jobs.main(["fraud", "--source", "text", "--source-path", src, "--table", str(tmp_path / "fraud"),
                       "--available-now"], spark) == 0
     assert fraud_table(str(tmp_path / "fraud")).latest(spark).count() == 2

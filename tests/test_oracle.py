@@ -34,6 +34,7 @@ EXPECTED_ROWS = {
     "top_merchants": 15,
     "stream_stats": 1,
     "serving_feed": 50,
+    "serving_feed_stored": 50,
     "kpi_summary": 1,
     "flag_breakdown": 2,
     "flag_breakdown_all": 2,

@@ -248,7 +248,8 @@ def test_keyed_table_matches_latest_wins_model(spark, batches, replay, compact_a
         if replay:  # a retried micro-batch writes the same rows again
             write(batch_id, batch)
         if compact_after == batch_id:
-            table.compact(spark, "2024-01-01 00:00:00")
+            name = "prop_" + uuid.uuid4().hex
+            table = table.compact(spark, name, f"{table.root}/{name}", "2024-01-01 00:00:00", 2)
     got = {r.transaction_id: r.transaction_count for r in table.latest(spark).collect()}
     assert got == model
 

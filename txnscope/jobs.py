@@ -5,8 +5,9 @@
 * ``fraud``     rule set B hot path (aggregate table; alerts are a view over it)
 * ``late``      rows that arrive behind the watermark, as a table
 * ``open``      windows still open in a query's state, written as Parquet
+* ``feed``      the dashboard's views of a stored anomaly table, written as Parquet
 * ``report``    the four monthly analytics over the cold lake, written as Parquet
-* ``compact``   compact a keyed table (live rows only) and/or rewrite closed lake days
+* ``compact``   write a keyed table's latest rows as a new base and/or rewrite closed lake days
 
 Window, watermark, thresholds and triggers are arguments. Streaming jobs print the windows and flagged windows of each
 batch, and rejected payloads, as the batches report them.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from dataclasses import replace
 
 if __package__ in (None, ""):  # run as a script: make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -28,8 +30,9 @@ if __package__ in (None, ""):  # run as a script: make the package importable
 from pyspark.sql import SparkSession  # noqa: E402
 
 from txnscope.config import ANOMALY, COLD_TRIGGER, FRAUD, HOT_TRIGGER, RuleProfile  # noqa: E402
-from txnscope.operators import analytics  # noqa: E402
+from txnscope.operators import analytics, serving  # noqa: E402
 from txnscope.session import STREAMING_STATE_PARTITIONS, is_local, pin_utc, prepare_streaming  # noqa: E402
+from txnscope.sinks.keyed import Base, KeyedTable  # noqa: E402
 from txnscope.sinks.lake import compact_days, read_cold, read_valid  # noqa: E402
 from txnscope.sources.stream import raw_stream, transaction_stream  # noqa: E402
 from txnscope.streaming.late import start_late_rows  # noqa: E402
@@ -61,6 +64,18 @@ def _add_profile(p: argparse.ArgumentParser, profile: RuleProfile) -> None:
     p.add_argument("--hot-trigger", default=HOT_TRIGGER)
 
 
+def _add_table(p: argparse.ArgumentParser, required: bool = True) -> None:
+    p.add_argument("--table", required=required, help="keyed table root")
+    p.add_argument("--fraud", action="store_true", help="the table holds fraud aggregates")
+    p.add_argument("--base", help="catalogue name of its compacted rows, as the compact job printed it")
+    p.add_argument("--base-batch", type=int, help="highest batch that the base covers")
+
+
+def _table(args) -> KeyedTable:
+    table = fraud_table(args.table) if args.fraud else anomaly_table(args.table)
+    return replace(table, base=Base(args.base, args.base_batch)) if args.base else table
+
+
 def _profile(args, profile: RuleProfile) -> RuleProfile:
     thresholds = {k: float(v) for k, v in (kv.split("=", 1) for kv in (args.threshold or []))}
     return profile.with_window(args.window).with_watermark(args.watermark).with_thresholds(**thresholds)
@@ -92,8 +107,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--trigger", default=COLD_TRIGGER)
 
     p = sub.add_parser("open")
-    p.add_argument("--table", required=True, help="keyed table root, whose query's state is read")
-    p.add_argument("--fraud", action="store_true")
+    _add_table(p)
     p.add_argument("--out", required=True)
 
     p = sub.add_parser("report")
@@ -103,9 +117,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--year", type=int, required=True)
     p.add_argument("--month", type=int, required=True)
 
+    p = sub.add_parser("feed")
+    _add_table(p)
+    p.add_argument("--as-of", help="time that records must not have expired at (default: now)")
+    p.add_argument("--out", required=True)
+
     p = sub.add_parser("compact")
-    p.add_argument("--table", help="keyed anomaly table root")
-    p.add_argument("--fraud", action="store_true", help="the table holds fraud aggregates")
+    _add_table(p, required=False)
+    p.add_argument("--new-base", help="catalogue name for the compacted rows")
+    p.add_argument("--new-base-path", help="folder for the compacted rows")
+    p.add_argument("--buckets", type=int, default=None)
     p.add_argument("--lake", help="cold table folder to rewrite")
     p.add_argument("--lake-out", help="target folder for rewritten days")
     p.add_argument("--unscreened", action="store_true", help="the lake was written by an unscreened pipeline")
@@ -145,8 +166,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                             available_now=args.available_now, trigger=args.trigger, query_name="late_rows")
         q.awaitTermination()
     elif args.job == "open":
-        table, profile = (fraud_table(args.table), FRAUD) if args.fraud else (anomaly_table(args.table), ANOMALY)
-        open_windows(spark, table.checkpoint, profile).write.mode("overwrite").parquet(args.out)
+        open_windows(spark, _table(args).checkpoint, FRAUD if args.fraud else ANOMALY).write.mode("overwrite").parquet(args.out)
+    elif args.job == "feed":
+        live = _table(args).live(spark, args.as_of)
+        views = {
+            "serving_feed": serving.serving_feed(live),
+            "kpi_summary": serving.kpi_summary(live),
+            "flag_breakdown": serving.flag_breakdown(serving.newest(live)),
+            "amount_by_window": serving.amount_by_window(live),
+        }
+        for name, df in views.items():
+            df.write.mode("overwrite").parquet(f"{args.out}/{name}")
     elif args.job == "report":
         cold = read_cold(spark, args.lake) if args.unscreened else read_valid(spark, args.lake)
         reports = {
@@ -159,8 +189,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             df.write.mode("overwrite").parquet(f"{args.out}/{name}")
     elif args.job == "compact":
         if args.table:
-            table = fraud_table(args.table) if args.fraud else anomaly_table(args.table)
-            table.compact(spark)
+            if not (args.new_base and args.new_base_path):
+                parser.error("--table needs --new-base and --new-base-path")
+            compacted = _table(args).compact(spark, args.new_base, args.new_base_path, buckets=args.buckets)
+            if compacted.base:
+                print(f"--base {compacted.base.table} --base-batch {compacted.base.upto}", flush=True)
         if args.lake:
             if not (args.lake_out and args.start and args.end):
                 parser.error("--lake needs --lake-out, --start and --end")

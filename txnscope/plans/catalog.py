@@ -166,9 +166,10 @@ def q_fraud_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fraud_alerts_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = fraud_table(scratch_path(spark, "fraud"))
+    root = scratch_path(spark, "fraud")
+    table = fraud_table(root)
     table.write_batch(_fraud_aggregates(spark, sf_dir), 0)
-    table.compact(spark, COMPACTED_AS_OF)
+    table = table.compact(spark, "fraud_base_" + root.rsplit("-", 1)[1], f"{root}/base", COMPACTED_AS_OF)
     return for_compare(live_alerts(spark, table, LIVE_AS_OF), joined=("fraud_flags",))
 
 
@@ -245,6 +246,31 @@ def q_serving_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Read time of the stored feed, when no record has expired.
+FEED_AS_OF = "2024-01-31 00:00:00"
+
+
+def q_serving_feed_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of the stored hot table: a replay re-emits its windows, half of its batches are compacted."""
+    path, steps = _dealt(spark, sf_dir, ONE_STEP_LATE_SQL)
+    root, held, later = scratch_path(spark, "feed-hot"), scratch_path(spark, "held"), steps[len(steps) // 2 :]
+    table = anomaly_table(root)
+
+    def run() -> None:
+        start_hot(
+            replay_stream(spark, path), table, ANOMALY, window=DAY, as_of="window_end", available_now=True,
+            state_partitions=_state_partitions(spark),
+        ).awaitTermination()
+
+    hold_back(spark, path, held, later)
+    run()
+    compacted = table.compact(spark, "anomalies_base_" + root.rsplit("-", 1)[1], f"{root}/base", FEED_AS_OF)
+    release(spark, held, path, later)
+    run()
+    feed = serving.serving_feed(compacted.live(spark, FEED_AS_OF))
+    return for_compare(feed, ("detected_at", *WINDOW_TS), ("anomaly_flags",))
+
+
 def q_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_compare(serving.kpi_summary(_records(spark, sf_dir)), ("latest_detected_at",))
 
@@ -547,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "cold_catalog_scan": q_cold_catalog_scan,
     "stream_stats": q_stream_stats,
     "serving_feed": q_serving_feed,
+    "serving_feed_stored": q_serving_feed_stored,
     "kpi_summary": q_kpi_summary,
     "flag_breakdown": q_flag_breakdown,
     "flag_breakdown_all": q_flag_breakdown_all,

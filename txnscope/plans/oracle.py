@@ -377,3 +377,4 @@ ORACLE: dict[str, str] = {
     "stream_valid_txns": DECODED_SQL + " WHERE CAST(transaction_id AS BIGINT) % 17 NOT IN (3, 5, 7)",
 }
 ORACLE["txn_stats"] = ORACLE["stream_stats"]
+ORACLE["serving_feed_stored"] = ORACLE["serving_feed"]

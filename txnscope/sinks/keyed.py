@@ -4,7 +4,6 @@ A table is a folder::
 
     <root>/checkpoint/   streaming checkpoint of the query that feeds it
     <root>/log/batch_id=N/part-*.parquet
-    <root>/snapshot/N-K/part-*.parquet   the kept rows of all batches up to N
 
 Each micro-batch is written to its own ``batch_id`` partition with dynamic partition
 overwrite, so a replayed batch (after a failure, same ``batch_id``) replaces exactly its
@@ -12,16 +11,16 @@ own files: writes are idempotent. The *latest view* keeps, per key, the row of t
 ``batch_id``; the *live view* also drops rows whose ``ttl`` (epoch seconds) has passed.
 Log and checkpoint share one root because a fresh checkpoint restarts ``batch_id`` at 0.
 
-Compaction writes the kept rows of all committed batches as a new snapshot. Readers use the
-newest snapshot whose success marker is there, and the batches after it, so a crash before
-the marker changes nothing and one after it only leaves files that nobody reads. It touches
-committed batches only and can run while the query writes. Files are removed one compaction
-later, so readers that started before it still find theirs.
+Compaction is a plain job: it reads the latest rows, drops those that nobody needs any more
+and writes the rest to a new catalogue table, bucketed and sorted by the key. The caller
+switches to the :class:`KeyedTable` it returns, which reads that base and the batches after
+it; nothing that others read is changed. The base is never shuffled for the latest view:
+the newer batches are, to its buckets, and take the place of its rows.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,19 +58,6 @@ def _last_committed(spark: SparkSession, checkpoint: str) -> int | None:
     return max(ids) if ids else -1
 
 
-def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, int]]:
-    """(batch, number) of the published snapshots, oldest first; one without its success marker is unfinished."""
-    p, fs = hadoop_path(spark, f"{root}/snapshot")
-    if not fs.exists(p):
-        return []
-    found = []
-    for status in fs.listStatus(p):
-        batch, _, number = status.getPath().getName().partition("-")
-        if batch.isdigit() and number.isdigit() and fs.exists(hadoop_path(spark, f"{root}/snapshot/{batch}-{number}/_SUCCESS")[0]):
-            found.append((int(batch), int(number)))
-    return sorted(found)
-
-
 def _latest(log: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """``row_number() = 1`` per key by descending batch: Spark inserts a partial per-key
     group limit before the shuffle, so superseded versions are dropped map-side."""
@@ -90,6 +76,14 @@ def unexpired(rows: DataFrame, expiry: str, as_of: Column | str | None = None) -
     return rows.filter(F.expr(expiry) > F.unix_timestamp(at))
 
 
+@dataclass(frozen=True)
+class Base:
+    """Rows of all batches up to ``upto``, in a catalogue table bucketed by the key."""
+
+    table: str
+    upto: int
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     root: str
@@ -99,6 +93,7 @@ class KeyedTable:
     # SQL expression of the epoch second until which compaction keeps a row, where a view over
     # the rows outlives them; the expiry column if unset.
     kept_until: str | None = None
+    base: Base | None = None
 
     @property
     def log(self) -> str:
@@ -128,27 +123,27 @@ class KeyedTable:
 
     # ----------------------------------------------------------------- read side
     def log_rows(self, spark: SparkSession) -> DataFrame:
-        """Rows of the newest snapshot, under the batch it reaches up to, and of the batches after it."""
-        log, taken = self._batches(spark), _snapshots(spark, self.root)
-        if not taken:
-            return log
-        batch, number = taken[-1]
-        snapshot = spark.read.schema(self.schema).parquet(f"{self.root}/snapshot/{batch}-{number}")
-        newer = log.where(F.col(BATCH) > F.lit(batch))
-        return snapshot.withColumn(BATCH, F.lit(batch).cast("long")).unionByName(newer)
-
-    def _batches(self, spark: SparkSession) -> DataFrame:
+        """All rows of the batches after the base, with their batch ids."""
         schema = T.StructType(self.schema.fields + [T.StructField(BATCH, T.LongType(), True)])
         try:
-            return spark.read.schema(schema).parquet(self.log)
+            rows = spark.read.schema(schema).parquet(self.log)
         except AnalysisException as err:  # nothing written yet
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], schema)
+        return rows.where(F.col(BATCH) > F.lit(self.base.upto)) if self.base else rows
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Newest row per key."""
-        return _latest(self.log_rows(spark), self.key).drop(BATCH)
+        return self._newest(spark, self.log_rows(spark))
+
+    def _newest(self, spark: SparkSession, log: DataFrame) -> DataFrame:
+        newest = _latest(log, self.key).drop(BATCH)
+        if self.base is None:
+            return newest
+        # keys are never null: a missing user has a key text of its own
+        unchanged = spark.table(self.base.table).join(newest.select(*self.key), list(self.key), "left_anti")
+        return unchanged.select(*[f.name for f in self.schema.fields]).unionByName(newest)
 
     def live(self, spark: SparkSession, as_of: Column | str | None = None) -> DataFrame:
         """Latest rows whose expiry is still ahead of ``as_of`` (default: now; a string
@@ -156,27 +151,30 @@ class KeyedTable:
         return unexpired(self.latest(spark), self.ttl_column, as_of)
 
     # ---------------------------------------------------------------- maintenance
-    def compact(self, spark: SparkSession, as_of: Column | str | None = None) -> int | None:
-        """Write the kept rows of all committed batches as a snapshot; returns its batch id.
-
-        Batches after the stream's last commit may still be replayed and stay in the log. Rows
-        past ``kept_until`` go. Older snapshots, and batches that the snapshot before this one
-        had replaced, are deleted afterwards.
+    def compact(
+        self, spark: SparkSession, table: str, path: str, as_of: Column | str | None = None, buckets: int | None = None
+    ) -> KeyedTable:
+        """Write the latest rows of all committed batches to the new catalogue table ``table`` at ``path``.
+
+        Returns the table to switch to. Batches after the stream's last commit may still be replayed and are left to
+        the log. Rows past ``kept_until`` go. ``buckets`` stay fixed for the table; with fewer than the shuffle
+        partitions (the default) readers may prefer to shuffle the base for its parallelism.
+        Nothing is deleted: batches and bases that no reader uses any more are the caller's to remove.
         """
         ids = _batch_ids(spark, self.log)
         committed = _last_committed(spark, self.checkpoint)
         if committed is not None:
             ids = [i for i in ids if i <= committed]
-        taken = _snapshots(spark, self.root)
-        if not ids and not taken:
-            return None
-        before, number = taken[-1] if taken else (-1, -1)
-        upto = max([*ids, before])
-        covered = self.log_rows(spark).where(F.col(BATCH) <= F.lit(upto))
-        kept = unexpired(_latest(covered, self.key).drop(BATCH), self.kept_until or self.ttl_column, as_of)
-        self._sized(kept).write.mode("overwrite").parquet(f"{self.root}/snapshot/{upto}-{number + 1}")
-        old = [f"{self.log}/{BATCH}={i}" for i in ids if i <= before]
-        for path in [*old, *(f"{self.root}/snapshot/{b}-{k}" for b, k in taken[:-1])]:
-            p, fs = hadoop_path(spark, path)
-            fs.delete(p, True)
-        return upto
+        if not ids or self.base is not None and ids[-1] <= self.base.upto:
+            return self
+        upto, buckets = ids[-1], buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = self._newest(spark, self.log_rows(spark).where(F.col(BATCH) <= F.lit(upto)))
+        kept = unexpired(rows, self.kept_until or self.ttl_column, as_of)
+        (
+            kept.repartition(buckets, *self.key)
+            .write.bucketBy(buckets, *self.key)
+            .sortBy(*self.key)
+            .option("path", path)
+            .saveAsTable(table)
+        )
+        return replace(self, base=Base(table, upto))
