@@ -1,15 +1,17 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-Equal vectors are one node of the graph. Two trees of random hyperplanes, fitted on a bounded sample, deal all
-nodes out to small blocks, whose nearest pairs start the graph. Then neighbours of neighbours are joined: the
+Equal vectors are one node of the graph. Two trees of random hyperplanes, fitted on a bounded sample and, in
+larger tables, cut on level by level at the quantiles of random projections, deal all nodes out to small blocks,
+whose nearest pairs start the graph. Then neighbours of neighbours are joined: the
 members of each node's neighbourhood (its neighbours and the nearest nodes that point to it) are compared with
 each other and every node keeps its nearest, until the graph hardly changes. Node numbers name the block, so
 comparisons happen by block and a block gets each vector that it needs once.
 
-A query starts at its own node and moves along the graph: all unvisited nodes of its beam are replaced by their
-neighbours, round by round, until the beam holds visited nodes only. All queries move in the same joins. For some
-queries a scan of all nodes tells the recall; while it is too low, the beam is doubled and the search goes on. The
-distances that decide the result are computed again in double precision from the original vectors.
+A query starts at its own node and moves along the graph: round by round, the nodes of its beam that are not expanded
+yet are, and the neighbours of theirs that it has never measured are measured, until a round changes no query's
+nearest nodes. All queries move in the same joins, and no distance is measured twice. For some queries a scan of all
+nodes tells the recall; while it is too low, the rest of the beam is expanded, then the beam is widened, and the search
+goes on from all that is measured. Distances are computed in double precision from the original vectors.
 """
 
 from __future__ import annotations
@@ -26,13 +28,15 @@ from txnscope.session import scratch_path
 
 RESULTS = 10
 DEGREE = 32  # neighbours kept per node
-BEAM = 64  # nodes kept per query, doubled until the measured recall is reached
+BEAM = 160  # nodes kept per query, doubled while the measured recall is too low
 MEASURED = 128  # queries whose recall is measured
 TARGET = 0.93  # a margin over 0.9 for the error of the measured recall
-SAMPLE = 8192  # nodes that the hyperplanes are fitted on; all nodes are dealt out
+SAMPLE = 8192  # nodes, about, that the hyperplanes are fitted on; all nodes are dealt out
+SLABS = 8  # parts that a leaf that is still too large is cut into, at the quantiles of a random projection
+LEVELS = 14  # of such cuts, more than any table needs
 LEAF_SAMPLE = 32  # fewest sampled nodes of a leaf
 BLOCK = 768  # nodes of a block, about
-SETTLED = 0.002  # the descent ends when the summed distances fall by less than this share
+SETTLED = 0.006  # the descent ends when the summed distances fall by less than this share
 ROUNDS = 12  # and after this many rounds at the latest
 SHIFT = 20  # a node's number is its block's, shifted, and its place there
 
@@ -92,21 +96,43 @@ class PlaneTree:
         return at - (2**self.depth - 1)
 
 
-def _dealt(nodes: DataFrame, tree: PlaneTree) -> DataFrame:
-    """The nodes with a block each: their leaf, and a part of it where a leaf is large."""
+def _dealt(nodes: DataFrame, tree: PlaneTree, seed: int) -> DataFrame:
+    """The nodes with a block each: their leaf, cut on along random directions while it is too large."""
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 leaves = tree.leaves(_matrix(batch.column(batch.schema.get_field_index("x"))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves)], names=[*batch.schema.names, "leaf"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves)], names=[*batch.schema.names, "block"])
 
-    placed = nodes.mapInArrow(leaf, _with(nodes.schema, "leaf long"))
-    # at most SAMPLE / LEAF_SAMPLE leaves, so the counts are few however many nodes there are
-    counts = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    parts = [math.ceil(counts.get(i, 0) / (2 * BLOCK)) or 1 for i in range(2**tree.depth)]
-    part = F.pmod(F.xxhash64("x"), F.get(F.array(*map(F.lit, parts)), F.col("leaf").cast("int")))
-    return placed.select("*", (F.shiftleft("leaf", 20) + part).alias("block")).drop("leaf")
+    placed = nodes.mapInArrow(leaf, _with(nodes.schema, "block long"))
+    for level in range(LEVELS):
+        large = placed.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > 2 * BLOCK)
+        if large.isEmpty():
+            break
+        placed = _stored(nodes.sparkSession, _cut(placed, large, seed * LEVELS + level), "dealt")
+    return placed
+
+
+def _cut(placed: DataFrame, large: DataFrame, seed: int) -> DataFrame:
+    """Blocks renumbered, those in ``large`` cut into up to SLABS parts at the quantiles of a projection of their own."""
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, block = _matrix(batch.column(batch.schema.get_field_index("x"))), batch.column("block").to_numpy()
+                side = np.empty(len(block))
+                for b in np.unique(block):
+                    side[block == b] = x[block == b] @ np.random.default_rng([seed, int(b)]).standard_normal(x.shape[1])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(side)], names=[*batch.schema.names, "side"])
+
+    sided = placed.mapInArrow(project, _with(placed.schema, "side double"))
+    cuts = [k / SLABS for k in range(1, SLABS)]
+    bounds = sided.join(large, "block").groupBy("block").agg(
+        F.percentile_approx("side", cuts).alias("cuts"), F.least(F.lit(SLABS), F.ceil(F.first("n") / F.lit(BLOCK))).alias("parts")
+    )
+    slab = F.expr(f"coalesce(CAST(floor(size(filter(cuts, c -> c < side)) * parts / {SLABS}) AS BIGINT), 0L)")
+    return sided.join(bounds, "block", "left").select(*placed.drop("block").columns, (F.col("block") * SLABS + slab).alias("block"))
 
 
 def _with(schema, extra: str) -> str:
@@ -223,16 +249,18 @@ def build_graph(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFr
     classes = _best(rows.select("x", "vec_id", F.lit(0).alias("d")), "x", "vec_id", RESULTS + 1)
     classes = _stored(spark, classes.groupBy("x").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "classes")
     count = classes.count()
-    sample = [bytes(r["x"]) for r in classes.orderBy(F.xxhash64("x"), "x").select("x").limit(SAMPLE).collect()]
+    # nodes are distinct, so a bound on their hash samples about SAMPLE of them without a sort
+    near = F.pmod(F.xxhash64("x"), F.lit(1 << 40)) <= (1 << 40) * min(1.0, SAMPLE / max(count, 1))
+    sample = sorted(bytes(r["x"]) for r in classes.where(near).select("x").collect())
     sample = np.array([np.frombuffer(x) for x in sample], np.float32) if sample else np.zeros((0, 1), np.float32)
     depth = max(0, math.ceil(math.log2(max(1, min(count / BLOCK, len(sample) / LEAF_SAMPLE)))))
     schema = "node long, x binary, ids array<long>, near array<long>, d array<double>"
-    first = _dealt(classes, PlaneTree(sample, depth, 1)).groupBy("block").applyInArrow(_numbered, schema)
+    first = _dealt(classes, PlaneTree(sample, depth, 1), 1).groupBy("block").applyInArrow(_numbered, schema)
     first = _stored(spark, first, "nodes")
     nodes = first.select("node", "x", "ids")
     edges = _exploded(first)
     if depth:
-        again = _dealt(nodes.select("node", "x"), PlaneTree(sample, depth, 2)).groupBy("block")
+        again = _dealt(nodes.select("node", "x"), PlaneTree(sample, depth, 2), 2).groupBy("block")
         edges = _merged(edges.unionByName(_exploded(again.applyInArrow(_more_edges, "node long, near array<long>, d array<double>"))))
     edges = _stored(spark, edges, "edges")
     total = _total(edges)
@@ -294,13 +322,39 @@ def _exact(nodes: DataFrame, wanted: list[tuple[int, bytes]]) -> DataFrame:
     return _best(nodes.select("node", "x").mapInArrow(run, "q long, v long, d double"), "q", "v", RESULTS)
 
 
-def search(spark: SparkSession, nodes: DataFrame, edges: DataFrame, beam: DataFrame, size: int) -> DataFrame:
-    """The beam (q, v, d, seen) of ``size`` nearest nodes found for each q, along the edges (u, v)."""
-    while beam.where("NOT seen").count():
-        step = beam.where("NOT seen").select("q", F.col("v").alias("u")).join(edges, "u").select("q", "v").distinct()
-        new = _measured(nodes, step.join(beam.select("q", "v"), ["q", "v"], "left_anti")).withColumn("seen", F.lit(False))
-        beam = _stored(spark, _best(beam.withColumn("seen", F.lit(True)).unionByName(new), "q", "v", size), "beam")
-    return beam
+class Search:
+    """The nodes that each of some queries has measured, as stored tables, and its beam."""
+
+    def __init__(self, spark: SparkSession, nodes: DataFrame, edges: DataFrame, starts: DataFrame):
+        """``starts`` names the queries' nodes q; ``edges`` (u, v) are followed from u to v."""
+        self.spark, self.nodes, self.edges = spark, nodes, edges
+        first = starts.select("q", F.col("q").alias("v"), F.lit(0.0).alias("d"))
+        self.measured = [self._write(first)]
+        self.beam = first.withColumn("expanded", F.lit(False))
+
+    def _write(self, rows: DataFrame) -> str:
+        path = scratch_path(self.spark, "search")
+        rows.write.parquet(path)
+        return path
+
+    def _all(self) -> DataFrame:
+        return self.spark.read.parquet(*self.measured)
+
+    def widen(self, size: int) -> None:
+        """The beam of the ``size`` nearest measured nodes; those that were out of the beam are expanded (again)."""
+        kept = self.beam.where("expanded").select("q", "v", "expanded")
+        wide = _best(self._all(), "q", "v", size).join(kept, ["q", "v"], "left")
+        self.beam = _stored(self.spark, wide.withColumn("expanded", F.coalesce("expanded", F.lit(False))), "beam")
+
+    def run(self, size: int, watched: int) -> None:
+        """Expand beams of ``size`` nodes, round by round, until the ``watched`` nearest nodes of each are expanded."""
+        while not _best(self.beam, "q", "v", watched).where("NOT expanded").isEmpty():
+            step = self.beam.where("NOT expanded").select("q", F.col("v").alias("u")).join(self.edges, "u").select("q", "v").distinct()
+            new = step.join(self._all().select("q", "v"), ["q", "v"], "left_anti")
+            self.measured.append(self._write(_measured(self.nodes, new)))
+            new = self.spark.read.parquet(self.measured[-1]).withColumn("expanded", F.lit(False))
+            old = self.beam.withColumn("expanded", F.lit(True))
+            self.beam = _stored(self.spark, _best(old.unionByName(new), "q", "v", size), "beam")
 
 
 def search_to_target(spark: SparkSession, nodes: DataFrame, edges: DataFrame, starts: DataFrame) -> DataFrame:
@@ -314,12 +368,22 @@ def search_to_target(spark: SparkSession, nodes: DataFrame, edges: DataFrame, st
     some = some.join(nodes, F.col("q") == F.col("node")).select("q", "x").collect()
     exact = _stored(spark, _exact(nodes, [(r["q"], bytes(r["x"])) for r in some]), "exact")
     wanted, size, count = exact.count(), BEAM, nodes.count()
-    beam = starts.select("q", F.col("q").alias("v"), F.lit(0.0).alias("d"), F.lit(False).alias("seen"))
-    beam = search(spark, nodes, edges, beam, size)
-    while size < count and exact.join(beam, ["q", "v"], "left_semi").count() < TARGET * wanted:
-        size *= 2
-        beam = search(spark, nodes, edges, beam.withColumn("seen", F.lit(False)), size)
-    return beam.drop("seen")
+    search = Search(spark, nodes, edges, starts)
+    watched = RESULTS + 1
+    while True:
+        before = len(search.measured)
+        search.run(size, watched)
+        if exact.join(search.beam, ["q", "v"], "left_semi").count() >= TARGET * wanted or size > count:
+            break
+        if watched < size:
+            watched = size
+        elif len(search.measured) > before:
+            size *= 2
+            watched = size
+            search.widen(size)
+        else:
+            break  # nothing else can be reached along the edges
+    return search.beam.drop("expanded")
 
 
 def nearest(spark: SparkSession, rows: DataFrame, every: int = 100) -> DataFrame:
