@@ -5,7 +5,8 @@ of each. Bands of MinHash values propose candidates. Inside a bucket, pairs are
 at a time: given the matches so far, a pair leaves when the posterior probability that its similarity reaches
 the threshold (uniform prior) falls below a tolerance. The rest is verified on the shingle sets. A pair that
 shares several buckets is counted in that of its first common band, and buckets with the same members are
-kept once. Large buckets are cut into blocks, and each pair of blocks is a task of its own; tasks report each
+kept once. Large buckets are cut into blocks, and each pair of blocks is a task of its own. Tasks run twice: on
+signatures alone they name the members that have a surviving pair; with the shingle sets of those they report each
 member's number of links and a spanning star of the links, never the pairs.
 """
 
@@ -33,7 +34,9 @@ STEP = 16  # values compared before the posterior is looked at again
 TOLERANCE = 1e-9
 BLOCK = 1024  # members of a bucket's block
 BLOCK_CHARS = 2_000_000
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+SIEVE_BITS = 16  # for each class whose text is wanted: one row in 16 passes the sieve for nothing
+SIEVE_CLASSES = 4_000_000  # up to so many classes the sieve (8 MB then) is broadcast; more texts are joined without it
 
 _RNG = np.random.default_rng(5)
 _A = _RNG.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -140,23 +143,28 @@ def common_counts(sets: list[np.ndarray], p: np.ndarray, q: np.ndarray) -> np.nd
     return total[a, b].astype(np.int64)
 
 
-def link_bucket(rows: dict, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """For the members of one task: copies that each is linked to here, and a root for each linked set."""
+def candidate_pairs(rows: dict, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a task's members that survive the pruning and have no earlier band in common."""
     sig, side, band = rows["signature"], rows["side"], rows["band"]
-    n = len(sig)
     if (side == 2).all():
         p, q = surviving_pairs(sig, sig, True, threshold, tolerance)
     else:
         a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         p, q = surviving_pairs(sig[a], sig[b], False, threshold, tolerance)
         p, q = a[p], b[q]
-    first = np.ones(len(p), dtype=bool)  # no earlier band in common
+    first = np.ones(len(p), dtype=bool)
     for c in range(band):
         for i in range(0, len(p), 65536):
             s = slice(i, i + 65536)
             cols = slice(c * BAND, (c + 1) * BAND)
             first[s] &= (sig[p[s], cols] != sig[q[s], cols]).any(axis=1)
-    p, q = p[first], q[first]
+    return p[first], q[first]
+
+
+def link_bucket(rows: dict, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """For the members of one task: copies that each is linked to here, and a root for each linked set."""
+    n = len(rows["signature"])
+    p, q = candidate_pairs(rows, threshold, tolerance)
     sets = rows["shingles"]
     size = np.array([len(x) for x in sets], dtype=np.int64)
     both = common_counts(sets, p, q)
@@ -241,24 +249,8 @@ def _tasks(buckets: DataFrame) -> DataFrame:
 TASK = ["bucket", "band", "low", "high"]
 
 
-def _links(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """key, links and root (a key) of each member with links, for each task."""
-
-    def finish(parts: list[pa.Table]) -> pa.RecordBatch:
-        t = pa.concat_tables(parts)
-        rows = {
-            "band": t["band"][0].as_py(),
-            "side": t["side"].to_numpy(),
-            "copies": t["copies"].to_numpy(),
-            "signature": np.frombuffer(b"".join(t["signature"].to_pylist()), dtype="<u4").reshape(-1, VALUES),
-            "shingles": [np.frombuffer(x, dtype=np.uint64) for x in t["shingles"].to_pylist()],
-        }
-        links, root = link_bucket(rows, threshold, tolerance)
-        linked = np.flatnonzero(links)
-        keys = t["key"].combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [keys.take(pa.array(linked)), pa.array(links[linked]), keys.take(pa.array(root[linked]))], names=["key", "links", "root"]
-        )
+def _dealt(tasks: DataFrame, finish, schema: str) -> DataFrame:
+    """``finish`` applied to the whole rows of one task after another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, parts = None, []
@@ -271,15 +263,76 @@ def _links(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame:
             for a, b in zip(cuts, cuts[1:], strict=False):
                 task = tuple(ids[:, a].tolist())
                 if task != open_ and parts:
-                    yield finish(parts)
+                    yield finish(pa.concat_tables(parts))
                     parts = []
                 open_ = task
                 parts.append(table.slice(a, b - a))
         if parts:
-            yield finish(parts)
+            yield finish(pa.concat_tables(parts))
+
+    return tasks.repartition(*TASK).sortWithinPartitions(*TASK).mapInArrow(run, schema)
+
+
+def _task_rows(t: pa.Table) -> dict:
+    return {
+        "band": t["band"][0].as_py(),
+        "side": t["side"].to_numpy(),
+        "signature": np.frombuffer(b"".join(t["signature"].to_pylist()), dtype="<u4").reshape(-1, VALUES),
+    }
+
+
+def _candidates(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """The rows of each task whose member has a surviving pair in it; signatures decide."""
+
+    def finish(t: pa.Table) -> pa.RecordBatch:
+        p, q = candidate_pairs(_task_rows(t), threshold, tolerance)
+        kept = t.select([*TASK, "key", "side"]).take(pa.array(np.union1d(p, q)))
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in kept.columns], names=kept.column_names)
 
-    dealt = tasks.repartition(*TASK).sortWithinPartitions(*TASK)
-    return dealt.mapInArrow(run, "key binary, links long, root binary")
+    return _dealt(tasks, finish, "bucket long, band int, low int, high int, key binary, side int")
+
+
+def _links(tasks: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """key, links and root (a key) of each member with links, for each task."""
+
+    def finish(t: pa.Table) -> pa.RecordBatch:
+        rows = _task_rows(t)
+        rows["copies"] = t["copies"].to_numpy()
+        rows["shingles"] = [np.frombuffer(x, dtype=np.uint64) for x in t["shingles"].to_pylist()]
+        links, root = link_bucket(rows, threshold, tolerance)
+        linked = np.flatnonzero(links)
+        keys = t["key"].combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(linked)), pa.array(links[linked]), keys.take(pa.array(root[linked]))], names=["key", "links", "root"]
+        )
+
+    return _dealt(tasks, finish, "key binary, links long, root binary")
+
+
+def _slots(keys: list[bytes], ids: list[int | None], bits: int) -> np.ndarray:
+    """The sieve's bit of each row: of its words and its id."""
+    own = np.frombuffer(b"".join(k[:8] for k in keys), dtype="<u8")
+    named = np.array([i or 0 for i in ids], dtype=np.int64).astype(np.uint64)
+    return (own ^ (named * _M)) % np.uint64(bits)
+
+
+def _sieve(classes: DataFrame) -> tuple[int, np.ndarray] | None:
+    """(bits, words of 64 bits) with the bits of the classes' first rows (key, doc_id) set; none for too many classes."""
+    count = classes.count()
+    if not count or count > SIEVE_CLASSES:
+        return None
+    bits = -(-count * SIEVE_BITS // 64) * 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slots(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bits)
+            set_ = (np.uint64(1) << (slot % np.uint64(64))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((slot // np.uint64(64)).astype(np.int64)), pa.array(set_)], names=["word", "bits"])
+
+    words = np.zeros(bits // 64, dtype=np.int64)
+    for r in classes.select("key", "doc_id").mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
+        words[r["word"]] = r["bits"]
+    return bits, words.view(np.uint64)
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -319,12 +372,16 @@ def _linked_classes(spark: SparkSession, docs: DataFrame, threshold: float, tole
     classes = spark.read.parquet(path)
 
     path = scratch_path(spark, "candidates")
-    _tasks(_buckets(classes.select("key", "signature"))).write.parquet(path)
+    tasks = _tasks(_buckets(classes.select("key", "signature")))
+    _candidates(tasks.join(classes.select("key", "signature"), "key"), threshold, tolerance).write.parquet(path)
     tasks = spark.read.parquet(path)
-    wanted = tasks.select("key").distinct()
-    payload = classes.select("key", "copies", "signature").join(wanted, "key", "left_semi")
-    texts = _keyed_texts(docs).join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    payload = payload.join(_shingle_sets(texts), "key")
+    wanted = classes.select("key", "copies", "doc_id", "signature").join(tasks.select("key").distinct(), "key", "left_semi")
+    path = scratch_path(spark, "wanted")
+    wanted.write.parquet(path)
+    wanted = spark.read.parquet(path)
+    # of each wanted class the row with its smallest id brings the words
+    texts = _keyed_texts(docs, _sieve(wanted)).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    payload = wanted.drop("doc_id").join(_shingle_sets(texts), "key")
 
     path = scratch_path(spark, "links")
     _links(tasks.join(payload, "key"), threshold, tolerance).write.parquet(path)
@@ -392,13 +449,22 @@ def _tag(key: str, doc_id) -> Column:
     return F.concat_ws(":", F.hex(key), F.col(doc_id) if isinstance(doc_id, str) else doc_id).alias("tag")
 
 
-def _keyed_texts(docs: DataFrame) -> DataFrame:
+def _keyed_texts(docs: DataFrame, sieve: tuple[int, np.ndarray] | None) -> DataFrame:
+    """key and text of the rows that pass the sieve: all rows that it was made for, and few others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in text_blocks(batch, 1, BLOCK_CHARS):
                 keys = [key_of(t.encode().split()) for t in texts]
+                rows = np.flatnonzero([k is not None for k in keys])
+                if sieve and len(rows):
+                    bits, words = sieve
+                    ids = batch.column(0).slice(first, len(texts)).to_pylist()
+                    slot = _slots([keys[i] for i in rows], [ids[i] for i in rows], bits)
+                    rows = rows[(words[slot // np.uint64(64)] >> (slot % np.uint64(64))) & np.uint64(1) == 1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), batch.column(1).slice(first, len(texts))], names=["key", "text"]
+                    [pa.array([keys[i] for i in rows], pa.binary()), batch.column(1).slice(first, len(texts)).take(pa.array(rows))],
+                    names=["key", "text"],
                 )
 
     return documents(docs).mapInArrow(run, "key binary, text string")
