@@ -52,21 +52,23 @@ FEATURES = ("kind", "digits", "separator", "words", "before", "after", "prefix")
 TREES, RATE, PRECISION, FOLDS = 40, 0.3, 0.9, 5
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, which is computed once however often ``body`` names it."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _blocks(array: str, n: str) -> str:
+    """An array cut into blocks of ``n``."""
+    return f"transform(sequence(0, {n} - 1), b -> slice({array}, b * {n} + 1, {n}))"
+
+
 def _ends(lengths: str) -> str:
-    """Running sums of an array, in steps of its square root: no quadratic work for texts with many matches."""
-    block = f"ceil(sqrt(size({lengths})))"
+    """Running sums of an array, in blocks of its square root: no quadratic work for texts with many matches."""
     total = "aggregate({}, 0L, (s, v) -> s + v)"
-    first = f"CAST(b * {block} + 1 AS INT)"
-    sums = f"transform(sequence(0, CAST({block} AS INT)), b -> {total.format(f'slice({lengths}, {first}, CAST({block} AS INT))')})"
-    inner = f"CAST({block} AS INT)"
-    return (
-        f"IF(size({lengths}) = 0, CAST(array() AS ARRAY<BIGINT>), flatten(transform(transform({sums}, (x, b) -> struct(b AS b)), q -> "
-        f"transform(slice({lengths}, q.b * {inner} + 1, {inner}), (x, j) -> "
-        + total.format(f"slice({sums}, 1, q.b)")
-        + " + "
-        + total.format(f"slice({lengths}, q.b * {inner} + 1, j + 1)")
-        + "))))"
-    )
+    within = _let("start", total.format("slice(z.sums, 1, b)"), f"transform(k, (x, j) -> start + {total.format('slice(k, 1, j + 1)')})")
+    sums = _let("z", f"struct(w.k AS k, transform(w.k, k -> {total.format('k')}) AS sums)", f"flatten(transform(z.k, (k, b) -> {within}))")
+    cut = _let("t", f"struct({lengths} AS l, CAST(ceil(sqrt(size({lengths}))) AS INT) AS n)", _let("w", f"struct({_blocks('t.l', 't.n')} AS k)", sums))
+    return f"IF(size({lengths}) = 0, CAST(array() AS ARRAY<BIGINT>), {cut})"
 
 
 def _matched(text: Column, pattern: str, needs: str) -> tuple[Column, Column]:
@@ -286,11 +288,26 @@ def personal_data(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def redacted(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents, all columns, with each span (overlapping ones as one) replaced by its kind's name."""
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    text = """concat_ws('', aggregate(spans, struct('' AS out, 0L AS at),
-        (s, x) -> struct(
-            IF(x.start >= s.at, concat(s.out, substring(row.text, CAST(s.at AS INT) + 1, CAST(x.start - s.at AS INT)), get(array(NAMES), x.kind)), s.out) AS out,
-            greatest(s.at, x.end) AS at),
-        s -> concat(s.out, substring(row.text, CAST(s.at AS INT) + 1))))""".replace("NAMES", names)
+    # in blocks of spans, each with its own part of the text, so that long texts with many spans take no quadratic work
+    block = _let(
+        "c",
+        "struct(get(y.at, b) AS at, substring(y.text, CAST(get(y.at, b) AS INT) + 1, CAST(get(y.tops, b) - get(y.at, b) AS INT)) AS text)",
+        """aggregate(k, struct('' AS out, c.at AS at),
+            (s, x) -> struct(
+                IF(x.start >= s.at, concat(s.out, substring(c.text, CAST(s.at - c.at AS INT) + 1, CAST(x.start - s.at AS INT)), get(array(NAMES), x.kind)), s.out) AS out,
+                greatest(s.at, x.end) AS at),
+            s -> s.out)""".replace("NAMES", names),
+    )
+    # the text is replaced up to the largest end of a block and of those before it
+    replaced = _let("z", "struct(w.text AS text, w.k AS k, transform(w.k, k -> array_max(transform(k, x -> x.end))) AS own)",
+                _let("y", "struct(z.text AS text, z.k AS k, transform(z.k, (k, b) -> array_max(slice(z.own, 1, b + 1))) AS tops, "
+                     "transform(z.k, (k, b) -> coalesce(array_max(slice(z.own, 1, b)), 0L)) AS at)",
+                     f"concat(array_join(transform(y.k, (k, b) -> {block}), ''), substring(y.text, CAST(array_max(y.tops) AS INT) + 1))"))
+    text = _let(
+        "t",
+        "struct(spans AS s, row.text AS text, CAST(ceil(sqrt(size(spans))) AS INT) AS n)",
+        _let("w", f"struct(t.text AS text, filter({_blocks('t.s', 't.n')}, k -> size(k) > 0) AS k)", replaced),
+    )
     d = find(spark, docs, docs.columns)
     d = d.select("row", F.expr(f"IF(size(spans) = 0, row.text, {text})").alias("_text"))
     columns = []
