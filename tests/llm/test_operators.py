@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -465,3 +466,40 @@ def test_pipeline_stages_keep_columns(spark, docs):
         out = spark.read.parquet(path)
         assert out.columns == docs.columns, name
     assert out.count() >= 2
+
+
+def test_personal_data_in_texts_with_very_many_matches(spark):
+    """Time and result: 50,000 matches of each kind in one text, redacted in order."""
+    kinds = {"email": "bob@example.com ", "ip": "10.0.0.25 ", "card": "4111 1111 1111 1111, ", "phone": "+1 555 123 4567; "}
+    docs = spark.createDataFrame([(i, unit * 50_000 + "end") for i, unit in enumerate(kinds.values())] + [(9, None)], "doc_id long, text string")
+    began = time.time()
+    found = {r.doc_id: r for r in pii.personal_data(spark, docs).collect()}
+    for i, kind in enumerate(kinds):
+        assert found[i][f"n_{kind}"] == 50_000
+    kept = {r.doc_id: r.text for r in pii.redacted(spark, docs).collect()}
+    assert kept[0] == "[EMAIL] " * 50_000 + "end" and kept[1] == "[IP] " * 50_000 + "end" and kept[9] is None
+    assert time.time() - began < 120
+
+
+def test_near_duplicates_in_buckets_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    ship_code(spark)
+    rng = np.random.default_rng(12)
+    bases = [[f"b{b}w{i}" for i in range(60)] for b in range(3)]
+    rows = []
+    for i in range(90):
+        words = list(bases[i % 3])
+        for at in rng.choice(60, rng.integers(0, 3), replace=False):
+            words[at] = f"x{rng.integers(0, 40)}"
+        rows.append((i, " ".join(words)))
+    rows += [(100 + i, " ".join(f"u{i}v{j}" for j in range(30))) for i in range(20)]
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for _, t in rows]
+    near = [[j for j in range(len(rows)) if j != i and len(a & sets[j]) / len(a | sets[j]) >= 0.8] for i, a in enumerate(sets)]
+    root = list(range(len(rows)))
+    for _ in rows:
+        root = [min([root[i], *(root[j] for j in near[i])]) for i in range(len(rows))]
+    want = {rows[i][0]: (rows[root[i]][0], len(near[i])) for i in range(len(rows))}
+    for classes in (jaccard.SIEVE_CLASSES, 0):  # texts chosen by the sieve, and joined without it
+        monkeypatch.setattr(jaccard, "SIEVE_CLASSES", classes)
+        got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(spark, _frame(spark, rows)).collect()}
+        assert got == want

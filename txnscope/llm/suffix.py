@@ -38,7 +38,7 @@ REACH = LENGTH - GRAM  # largest distance of an anchor from its window's start
 ROW = LENGTH + REACH  # a suffix and the reversed bytes before it
 SEGMENT = 1 << 18  # windows of a text looked at in one go
 BATCH = 1 << 20  # bytes of segments looked at together
-CHUNK_BYTES = 24 << 20  # text of a chunk of documents, about
+CHUNK_BYTES = 8 << 20  # text of a chunk of documents, about
 HOT = 4096  # occurrences from which an anchor's windows are dealt by window
 
 _LOW = np.uint64((1 << 21) - 1)

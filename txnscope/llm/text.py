@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 8 << 20
+
 #: Words of the contracts: runs of characters other than space and \t \n \v \f \r.
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 
@@ -38,6 +40,8 @@ def ship_code(spark: SparkSession) -> None:
         for path in sorted(package.rglob("*.py")):
             z.write(path, path.relative_to(package.parent))
     sc.addPyFile(str(archive))
+    # batches sent to Python are cut by their bytes, so that long texts do not fill workers' memory
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc._txnscope_shipped = True
 
 
