@@ -1,16 +1,18 @@
 """Packing of tokenised documents into fixed-length sequences by a configuration program.
 
 Only the histogram of piece lengths reaches the driver: at most ``capacity`` counts, whatever the corpus
-size. Over it, a configuration (how many pieces of which lengths share one sequence) is priced by a
-knapsack dynamic program whose values are multiplicative weights: the larger a length's uncovered share,
-the larger its weight. Each configuration is used as often as the uncovered counts allow before the
-weights are updated, so every step is integral and covers at least one length completely. What no full
-configuration takes is packed best-fit. The plan is a short list of (configuration, number of
+size. Over it, a covering program asks for the fewest sequences, fractions allowed, whose configurations (how
+many pieces of which lengths share one sequence) cover every count. Each length has a weight that is multiplied by
+``exp(STEP * (1 - covered share))``; a knapsack dynamic program over the weights prices all configurations, which gives
+a lower bound of the program and, for every length, its best configuration as a new column. The rounds end when the
+fractional number of sequences is within ``GAP`` of the bound. The fractions are rounded down, the rest of one carried on to the
+next, and the pieces that then remain are packed best-fit. The plan is a short list of (configuration, number of
 sequences); Spark numbers the pieces of each length in salted groups and looks their places up in it.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,6 +41,11 @@ BLOCK_CHARS = 4_000_000
 CACHE_WORDS = 500_000
 SEPARATOR = "\r"
 LENGTH_SHIFT = 40  # lengths above, rank within the length below
+GAP = 0.003  # the fractional program is solved to this share of its lower bound
+ROUNDS = 1000  # of pricing at most, many times what any tried histogram needed; a plan tells the gap that it reached
+STEP = 10.0  # how strongly the covered share moves a weight
+INNER = 100  # updates of the columns' uses between two pricings
+NEAR = 0.01  # a length's best configuration becomes a column if its value is at most this share below one sequence
 
 
 class SpacedEncoder:
@@ -149,9 +156,14 @@ def token_pieces(spark: SparkSession, docs: DataFrame, vocab_path: str, capacity
 
 @dataclass
 class Plan:
-    """Configurations with the number of sequences that use each."""
+    """Configurations with the number of sequences that use each.
+
+    ``bound`` is the lower bound of the fractional program, ``fractional`` the value that it was solved to.
+    """
 
     capacity: int
+    bound: float = 0.0
+    fractional: float = 0.0
     uses: list[tuple[tuple[tuple[int, int], ...], int]] = field(default_factory=list)
 
     def add(self, config: dict[int, int], times: int) -> None:
@@ -177,93 +189,190 @@ class Plan:
         return table[:, 0].copy(), table[:, 1:].copy()
 
 
-def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int, int]:
-    """The most valuable configuration: unbounded knapsack by dynamic programming."""
+def price(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per room up to ``capacity`` the value of the best configuration and the index of its last piece (-1: the best
+    of one token less): unbounded knapsack by dynamic programming."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
         k = upto[c]
-        best[c], choice[c] = best[c - 1], -1
+        best[c] = best[c - 1]
         if k:
             total = best[c - lengths[:k]] + values[:k]
             j = k - 1 - int(total[::-1].argmax())  # of equal values the longest piece
             if total[j] > best[c]:
                 best[c], choice[c] = total[j], j
-    config: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-        else:
-            length = int(lengths[choice[c]])
-            config[length] = config.get(length, 0) + 1
-            c -= length
-    return config
+    return best, choice
+
+
+def configurations(lengths: np.ndarray, choice: np.ndarray, first: np.ndarray) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """For each index in ``first`` the best configuration with that piece, as (indexes, copies)."""
+    filled = np.maximum.accumulate(np.where(choice >= 0, np.arange(len(choice)), 0))
+    at, room = np.arange(len(first)), filled[len(choice) - 1 - lengths[first]]
+    configs, pieces = [at], [first]
+    while True:
+        at, room = at[room > 0], room[room > 0]
+        if not len(at):
+            break
+        configs.append(at)
+        pieces.append(choice[room])
+        room = filled[room - lengths[choice[room]]]
+    key, copies = np.unique(np.concatenate(configs) * len(lengths) + np.concatenate(pieces), return_counts=True)
+    ends = np.flatnonzero(np.diff(key // len(lengths))) + 1
+    parts = zip(np.split(key % len(lengths), ends), np.split(copies, ends), strict=True)
+    return [(tuple(i.tolist()), tuple(k.tolist())) for i, k in parts]
+
+
+class Covering:
+    """The fractional covering program over the counts of ``lengths``, solved by multiplicative weights.
+
+    A piece's weight starts at its share of the capacity, which no configuration exceeds in sum; the first columns are
+    those of a plan that covers all, such as best-fit's, as a feasible start. ``uses`` of the columns
+    rise while their pieces' weights sum to more than one sequence and fall while to less. After each pricing the
+    weights reached become the new starting weights, so coverage tends to one and the weights to an optimal dual.
+    """
+
+    def __init__(self, lengths: np.ndarray, counts: np.ndarray, capacity: int):
+        self.lengths, self.counts, self.capacity = lengths, counts.astype(float), capacity
+        self.weights = lengths / capacity
+        self.columns: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
+        self.uses = np.zeros(0)
+        self.column, self.piece, self.copies = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.bound, self.value = 0.0, np.inf
+        self.best_uses = self.uses
+
+    def start(self, plan: Plan) -> None:
+        """Columns and uses of a plan that covers all counts."""
+        at = {x: i for i, x in enumerate(self.lengths.tolist())}
+        uses: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
+        for config, times in plan.uses:
+            pieces, copies = zip(*sorted((at[x], k) for x, k in config), strict=True)
+            uses[pieces, copies] = uses.get((pieces, copies), 0) + times
+        self._add(list(uses), 0.0)
+        self.uses = self.best_uses = np.array(list(uses.values()), float)
+        self.value = float(self.uses.sum())
+
+    def _add(self, configs: list, each: float) -> None:
+        column, piece, copies = [self.column], [self.piece], [self.copies]
+        for config in configs:
+            if config not in self.columns:
+                column.append(np.full(len(config[0]), len(self.columns)))
+                piece.append(np.array(config[0]))
+                copies.append(np.array(config[1], float))
+                self.columns[config] = len(self.columns)
+        self.column, self.piece, self.copies = (np.concatenate(a) for a in (column, piece, copies))
+        self.uses = np.append(self.uses, np.full(len(self.columns) - len(self.uses), each))
+
+    def _covered(self) -> np.ndarray:
+        return np.bincount(self.piece, self.copies * self.uses[self.column], len(self.counts)) / self.counts
+
+    def _weights(self, covered: np.ndarray) -> np.ndarray:
+        return self.weights * np.exp((STEP * (1 - covered)).clip(-30, 30))
+
+    def price(self) -> None:
+        """One pricing: the bound, new columns, then their uses and the weights."""
+        best, choice = price(self.lengths, self.weights, self.capacity)
+        self.bound = max(self.bound, float(self.counts @ self.weights) / best[-1])
+        value = self.weights + best[self.capacity - self.lengths]
+        near = np.flatnonzero(value >= min(best[-1], 1.0) * (1 - NEAR))
+        self._add(configurations(self.lengths, choice, near), 0.02 * self.bound / len(self.lengths))
+        for _ in range(INNER):
+            worth = np.bincount(self.column, self.copies * self._weights(self._covered())[self.piece], len(self.uses))
+            self.uses = self.uses * np.exp((worth - 1).clip(-1, 1) / (2 * STEP))
+        covered = self._covered()
+        self.weights = self._weights(covered).clip(1e-9, 1e9)
+        # what is short is covered by sequences of one length, or everything is used a little more
+        short = (self.counts * (1 - covered).clip(0) / (self.capacity // self.lengths)).sum()
+        total = float(self.uses.sum())
+        value = min(total + short, total / covered.min() if covered.min() > 0 else np.inf)
+        if value < self.value:
+            self.value, self.best_uses = value, self.uses
+
+    def solve(self) -> None:
+        """Rounds until the value is within GAP, or one sequence, of the bound."""
+        for _ in range(ROUNDS):
+            self.price()
+            if self.value <= self.bound + max(self.bound * GAP, 1.0):
+                return
+
+    def rounded(self) -> Iterator[tuple[dict[int, int], int]]:
+        """Whole uses of configurations that cover no count twice, most used first."""
+        left, carry = self.counts.astype(np.int64), 0.0
+        uses, configs = self.best_uses, list(self.columns)
+        for j in np.argsort(-uses, kind="stable").tolist():
+            carry += uses[j]
+            if carry < 1:
+                continue
+            pieces, copies = (np.array(a) for a in configs[j])
+            times = min(int(carry), int((left[pieces] // copies).min()))
+            if times:
+                left[pieces] -= times * copies
+                carry -= times
+                yield dict(zip(self.lengths[pieces].tolist(), copies.tolist(), strict=True)), times
 
 
 def best_fit(plan: Plan, left: dict[int, int]) -> None:
     """Pack the remaining counts, longest first, each into the fullest open sequences that fit."""
     open_: dict[int, list[tuple[dict[int, int], int]]] = {}
+    rooms: list[int] = []  # of the open sequences, ascending
+
+    def put(room: int, config: dict[int, int], uses: int) -> None:
+        if room not in open_:
+            open_[room] = []
+            bisect.insort(rooms, room)
+        open_[room].append((config, uses))
+
     for length in sorted((x for x, n in left.items() if n), reverse=True):
         n = left[length]
         while n:
-            room = min((r for r in open_ if r >= length), default=None)
-            if room is None:
+            at = bisect.bisect_left(rooms, length)
+            if at == len(rooms):
                 config, times, room = {}, -(-n // (plan.capacity // length)), plan.capacity
             else:
+                room = rooms[at]
                 config, times = open_[room].pop()
                 if not open_[room]:
-                    del open_[room]
+                    del open_[room], rooms[at]
             each = room // length
             full, rest = min(times, n // each), 0
             if full < times:
                 rest = n - full * each
             for copies, uses in ((each, full), (rest, 1 if rest else 0), (0, times - full - (1 if rest else 0))):
                 if uses and copies:
-                    new = {**config, length: config.get(length, 0) + copies}
-                    open_.setdefault(room - copies * length, []).append((new, uses))
+                    put(room - copies * length, {**config, length: config.get(length, 0) + copies}, uses)
                 elif uses and config:
-                    open_.setdefault(room, []).append((config, uses))
+                    put(room, config, uses)
             n -= full * each + rest
     for groups in open_.values():
         for config, times in groups:
             plan.add(config, times)
 
 
-def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, eta: float = 0.001, steps: int = 400) -> Plan:
+def make_plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """Sequences for the counts of each length; every count is covered exactly.
 
-    Covering program over configurations: the value of a length starts at its share of the capacity (a
-    feasible dual) and carries a weight that falls by ``exp(-eta)`` as the length gets covered. Lengths that
-    are covered leave the program; the steps end when no nearly full configuration is left, and the
-    rounding packs what remains best-fit. Best-fit alone is kept if it needs fewer sequences.
+    Pieces as long as a sequence have one each; for the others the covering program is solved and rounded, and what
+    the rounding leaves is packed best-fit.
     """
     left = {x: n for x, n in histogram.items() if n}
     plan = Plan(capacity)
-    if left.get(capacity):
+    if capacity in left:
         plan.add({capacity: 1}, left.pop(capacity))
-    whole, active = dict(left), set(left)
-    for _ in range(steps):
-        if not active:
-            break
-        lengths = np.array(sorted(active), dtype=np.int64)
-        share = np.array([left[x] / whole[x] for x in lengths.tolist()])
-        config = price(lengths, lengths / capacity * np.exp(eta * (share - 1)), capacity)
-        if sum(x * k for x, k in config.items()) < capacity * (1 - 2 * eta):
-            break
-        short = [x for x, k in config.items() if left[x] < k]
-        active.difference_update(short)  # too few for another such configuration: left to the rounding
-        if not short:
-            times = min(left[x] // k for x, k in config.items())
+    plan.bound = plan.fractional = float(plan.sequences)
+    if left:
+        lengths = np.array(sorted(left), dtype=np.int64)
+        program = Covering(lengths, np.array([left[x] for x in lengths.tolist()]), capacity)
+        start = Plan(capacity)
+        best_fit(start, left)
+        program.start(start)
+        program.solve()
+        plan.bound, plan.fractional = plan.bound + program.bound, plan.fractional + program.value
+        for config, times in program.rounded():
             plan.add(config, times)
             for x, k in config.items():
                 left[x] -= k * times
-                if not left[x]:
-                    active.discard(x)
-    best_fit(plan, {x: n for x, n in left.items() if n})
-    alone = Plan(capacity)
-    best_fit(alone, {x: n for x, n in histogram.items() if n})
-    return min(plan, alone, key=lambda p: p.sequences)
+        best_fit(plan, left)
+    return plan
 
 
 def pack(spark: SparkSession, docs: DataFrame, vocab_path: str, capacity: int = CAPACITY) -> DataFrame:
