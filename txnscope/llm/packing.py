@@ -5,7 +5,7 @@ size. Over it, a covering program asks for the fewest sequences, fractions allow
 many pieces of which lengths share one sequence) cover every count. Each length has a weight that is multiplied by
 ``exp(STEP * (1 - covered share))``; a knapsack dynamic program over the weights prices all configurations, which gives
 a lower bound of the program and, for every length, its best configuration as a new column. The rounds end when the
-fractional number of sequences is within ``GAP`` of the bound. The fractions are rounded down, the rest of one carried on to the
+fractional number of sequences is within ``GAP`` of the bound, or after ``ROUNDS``. The fractions are rounded down, the rest of one carried on to the
 next, and the pieces that then remain are packed best-fit. The plan is a short list of (configuration, number of
 sequences); Spark numbers the pieces of each length in salted groups and looks their places up in it.
 """
@@ -42,7 +42,7 @@ CACHE_WORDS = 500_000
 SEPARATOR = "\r"
 LENGTH_SHIFT = 40  # lengths above, rank within the length below
 GAP = 0.003  # the fractional program is solved to this share of its lower bound
-ROUNDS = 1000  # of pricing at most, many times what any tried histogram needed; a plan tells the gap that it reached
+ROUNDS = 80  # of pricing at most, which bounds the driver's work; a plan tells the gap that it reached
 STEP = 10.0  # how strongly the covered share moves a weight
 INNER = 100  # updates of the columns' uses between two pricings
 NEAR = 0.01  # a length's best configuration becomes a column if its value is at most this share below one sequence
@@ -275,7 +275,9 @@ class Covering:
         self.bound = max(self.bound, float(self.counts @ self.weights) / best[-1])
         value = self.weights + best[self.capacity - self.lengths]
         near = np.flatnonzero(value >= min(best[-1], 1.0) * (1 - NEAR))
-        self._add(configurations(self.lengths, choice, near), 0.02 * self.bound / len(self.lengths))
+        # new columns enter small, the smaller the closer the value is to the bound
+        entering = min(0.02, (self.value / self.bound - 1) / 4) * self.bound
+        self._add(configurations(self.lengths, choice, near), entering / len(self.lengths))
         for _ in range(INNER):
             worth = np.bincount(self.column, self.copies * self._weights(self._covered())[self.piece], len(self.uses))
             self.uses = self.uses * np.exp((worth - 1).clip(-1, 1) / (2 * STEP))
@@ -289,7 +291,7 @@ class Covering:
             self.value, self.best_uses = value, self.uses
 
     def solve(self) -> None:
-        """Rounds until the value is within GAP, or one sequence, of the bound."""
+        """Rounds until the value is within GAP, or one sequence, of the bound; ROUNDS at most."""
         for _ in range(ROUNDS):
             self.price()
             if self.value <= self.bound + max(self.bound * GAP, 1.0):
@@ -301,10 +303,10 @@ class Covering:
         uses, configs = self.best_uses, list(self.columns)
         for j in np.argsort(-uses, kind="stable").tolist():
             carry += uses[j]
-            if carry < 1:
+            if carry < 1 - 1e-6:
                 continue
             pieces, copies = (np.array(a) for a in configs[j])
-            times = min(int(carry), int((left[pieces] // copies).min()))
+            times = min(int(carry + 1e-6), int((left[pieces] // copies).min()))
             if times:
                 left[pieces] -= times * copies
                 carry -= times
