@@ -78,6 +78,18 @@ def test_sql_score_equals_numpy(spark):
     assert np.allclose(got, 1 / (1 + np.exp(-z)))
 
 
+def test_sample_is_bounded_and_has_the_smallest_hashes(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 400)
+    frame = spark.range(20_000).selectExpr("id AS doc_id", *[f"CAST(id AS DOUBLE) AS {n}" for n in quality.FEATURES])
+    smallest = frame.selectExpr("doc_id", "xxhash64(doc_id) AS h").orderBy("h").limit(400).collect()
+    assert quality._sample(frame)[:, 0].tolist() == [r["doc_id"] for r in smallest]
+    passing = frame.where(f"xxhash64(doc_id) <= {quality._bound(20_000)}").count()
+    assert 400 <= passing <= 640  # rows that tasks send, not 400 from each
+    hot = frame.unionByName(frame.where(f"doc_id = {smallest[0]['doc_id']}").crossJoin(spark.range(5000).select()))
+    assert len(quality._sample(hot)) == 400
+    assert quality._bound(0) == quality._bound(300) == 2**63 - 1
+
+
 def test_odd_rows_and_clashing_columns(spark):
     docs = [*rows(300), (None, GOOD, None, None, None), (900, None, 0.1, None, None), (901, "", 0.1, "", ""), (7, GOOD, 1.0, "x", "y"), (7, GOOD, 1.0, "x", "y")]
     docs.append((902, "long " * 200_000, 0.0, "", ""))

@@ -6,7 +6,7 @@ score thresholds, of the share of unlabelled to the share of positive texts abov
 model is additive and becomes one SQL expression; scoring is a map over the table.
 
 Training rows are those of the training part; the sample on which the driver fits is bounded by ``SAMPLE``
-rows of each kind (those with the smallest hash of their id), a few numbers a row.
+rows of each kind (those with the smallest hash of their id, found by a bound on it), a few numbers a row.
 """
 
 from __future__ import annotations
@@ -137,8 +137,18 @@ def _features(docs: DataFrame) -> DataFrame:
     )
 
 
+def _bound(count: int) -> int:
+    """A hash of the id at or below which about SAMPLE of ``count`` rows lie, and fewer than SAMPLE hardly ever."""
+    share = min(1.0, (SAMPLE + 6 * SAMPLE**0.5) / max(count, 1))
+    return min(-(1 << 63) + int(share * (1 << 64)), (1 << 63) - 1)
+
+
 def _sample(rows: DataFrame) -> np.ndarray:
-    picked = rows.orderBy(F.xxhash64("doc_id"), *FEATURES).limit(SAMPLE).select(*FEATURES).collect()
+    """Features of the at most SAMPLE rows with the smallest hashes. The bound comes first, so that all tasks
+    together send about SAMPLE rows; the limit holds where an id that passes repeats."""
+    hashed = F.xxhash64("doc_id")
+    near = rows.where(hashed <= F.lit(_bound(rows.count())))
+    picked = near.orderBy(hashed, *FEATURES).limit(SAMPLE).select(*FEATURES).collect()
     return np.array([list(r) for r in picked], dtype=float).reshape(-1, len(FEATURES))
 
 
