@@ -82,21 +82,27 @@ class SpacedEncoder:
         A space run before a word gives its last space to the word, so the separator stays a token of its
         own; words that hold it, rare characters or special tokens are encoded one by one.
         """
-        cache = self.cache
+        cache, rare = self.cache, self.rare
+        joined = SEPARATOR.join(words)
+        special = [s for s in self.special if s in joined]
+        parted = joined.count(SEPARATOR) >= len(words)  # a word holds it
         together = []
         for word in words:
-            if SEPARATOR in word or self.rare.search(word) or any(s in word for s in self.special):
+            if (
+                (not word.isascii() and rare.search(word))
+                or (parted and SEPARATOR in word)
+                or (special and any(s in word for s in special))
+            ):
                 cache[word] = self.ids(" " + word)
             else:
                 together.append(word)
         if not together:
             return
-        text = SEPARATOR.join(" " + w for w in together) + SEPARATOR
+        text = " " + (SEPARATOR + " ").join(together) + SEPARATOR
         ids = self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
-        stops = np.flatnonzero(ids == self.separator_id)
-        raw, cuts = ids.tobytes(), (4 * stops).tolist()
-        for word, a, b in zip(together, [-4, *cuts], cuts, strict=False):
-            cache[word] = raw[a + 4 : b]
+        cuts = (4 * np.flatnonzero(ids == self.separator_id)).tolist()
+        starts = [0, *(cut + 4 for cut in cuts)]
+        cache.update(zip(together, map(ids.tobytes().__getitem__, map(slice, starts, cuts)), strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         parts = []
