@@ -96,3 +96,15 @@ def test_edges_and_places(histogram):
         assert ends.get(sequence, 0) == offset
         ends[sequence] = offset + x
     assert len(ends) == plan.sequences and max(ends.values(), default=0) <= packing.CAPACITY
+
+
+def test_ids_of_words_with_separators_specials_and_rare_characters():
+    import public_tokenizers
+
+    rng = random.Random(1)
+    words = ["a", "\r", "b\rc", "漢", "é", "İ", "<|endoftext|>", "x1'll", "", "\t", "w\n"]
+    texts = ["", " ", "a\rb c", "tail ", " lead", "a  b", "end\r"]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    encoder = packing.SpacedEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert list(encoder.encode(texts)) == [encoder.ids(t) for t in texts]
+    assert list(encoder.encode(["plain words", "plain again"])) == [encoder.ids(t) for t in ("plain words", "plain again")]
