@@ -5,13 +5,23 @@ from __future__ import annotations
 import os
 from datetime import datetime
 
-
+from tests.conftest import SF001, txn_frame
 from txnscope.config import ANOMALY, FRAUD
 from txnscope.operators.records import fraud_alerts
 from txnscope.operators.windows import aggregate
+from txnscope.plans import catalog
 from txnscope.sinks.lake import read_cold
+from txnscope.sources import replay
 from txnscope.sources.payload import decode_payload, to_envelope
-from txnscope.streaming.paths import anomaly_table, fraud_table, start_cold, start_final, start_fraud_hot, start_hot
+from txnscope.streaming.paths import (
+    anomaly_table,
+    fraud_table,
+    start_cold,
+    start_final,
+    start_fraud_hot,
+    start_hot,
+    start_sliding,
+)
 from txnscope.streaming.progress import attach_collector, observe_transactions
 from txnscope.streaming.runner import PipelineRoots, run_both
 
@@ -223,3 +233,35 @@ def test_state_partitions_fixed_per_query(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     ops = [op for p in q.recentProgress for op in p.get("stateOperators", [])]
     assert ops and all(op["numShufflePartitions"] == 3 for op in ops)
+
+
+def test_sliding_replay_takes_bounded_batches(spark, monkeypatch):
+    whole = sorted(map(str, catalog.q_stream_sliding(spark, SF001).collect()))
+    runs = []
+
+    def start(*args, **kwargs):
+        runs.append(start_sliding(*args, **kwargs))
+        return runs[-1]
+
+    monkeypatch.setattr(replay, "ROWS_PER_STEP", 100)
+    monkeypatch.setattr(catalog, "start_sliding", start)
+    assert sorted(map(str, catalog.q_stream_sliding(spark, SF001).collect())) == whole
+    batches = [p["numInputRows"] for p in runs[0].recentProgress]
+    assert sum(batches) == 1000 and max(batches) <= 200
+    held = [op["numRowsTotal"] for p in runs[0].recentProgress for op in p["stateOperators"]]
+    assert max(held) < 2000  # of about 5,000 windows
+    dropped = [op["numRowsDroppedByWatermark"] for p in runs[0].recentProgress for op in p["stateOperators"]]
+    assert not any(dropped)
+
+
+def test_replay_in_order_keeps_every_row(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "ROWS_PER_STEP", 40)
+    rows = [(str(i), f"u{i % 3}", 1.0, f"2024-01-01 00:{i * 37 % 60:02d}:00") for i in range(200)] + [("x", "u", 1.0, None)] * 3
+    txns = txn_frame(spark, rows)
+    path = str(tmp_path / "replay")
+    replay.deal_in_order(txns, path)
+    files = sorted((f for f in os.listdir(path) if f.startswith("part-")), key=lambda f: os.path.getmtime(f"{path}/{f}"))
+    times = [[r[0] for r in spark.read.parquet(f"{path}/{f}").select("event_timestamp").collect()] for f in files]
+    known = [[t for t in group if t] for group in times]
+    assert len(files) > 3 and all(max(a) <= min(b) for a, b in zip(known, known[1:]) if a and b)
+    assert sorted(map(str, spark.read.parquet(path).collect())) == sorted(map(str, txns.select(*spark.read.parquet(path).columns).collect()))

@@ -42,7 +42,7 @@ from txnscope.sources.payload import (
     read_routed,
     valid_payloads,
 )
-from txnscope.sources.replay import deal_out, hold_back, release, replay_stream, with_steps
+from txnscope.sources.replay import deal_in_order, deal_out, hold_back, release, replay_stream, with_steps
 from txnscope.streaming.late import read_late, start_late_rows
 from txnscope.streaming.paths import (
     anomaly_table,
@@ -542,9 +542,9 @@ def q_stream_anomalies_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
     root = scratch_path(spark, "stream-sliding")
-    txns = events_as_transactions(read_events_stream(spark, sf_dir))
+    deal_in_order(_txns(spark, sf_dir), f"{root}/replay")
     start_sliding(
-        txns, f"{root}/table", f"{root}/checkpoint", ANOMALY, SLIDING_WINDOW, SLIDING_SLIDE, available_now=True,
+        replay_stream(spark, f"{root}/replay"), f"{root}/table", f"{root}/checkpoint", ANOMALY, SLIDING_WINDOW, SLIDING_SLIDE, available_now=True,
         state_partitions=_state_partitions(spark),
     ).awaitTermination()
     w = spark.read.parquet(f"{root}/table")

@@ -1,8 +1,9 @@
-"""Replays: a table of transactions dealt out over numbered files, streamed one file a batch.
+"""Replays: a table of transactions dealt out over files, streamed one file a batch.
 
 A replay's order is fixed by the data alone, so lateness can be computed in SQL: transactions go to equal steps of
 the event-time range, and a delay expression moves some of them to later steps, out of order. Each step is one file;
-the files' modification times, which file sources follow, ascend by step.
+the files' modification times, which file sources follow, ascend by step. Without delays, files of equal row counts in
+event-time order do (:func:`deal_in_order`): a stream over them holds the state of a batch or so, however large the table.
 """
 
 from __future__ import annotations
@@ -56,6 +57,22 @@ def deal_out(stepped: DataFrame, path: str) -> list[int]:
     return sorted(steps)
 
 
+def deal_in_order(txns: DataFrame, path: str) -> None:
+    """Write the rows under ``path`` in event-time order, about ROWS_PER_STEP a file, in ascending modification times.
+
+    A later file holds no earlier time, so no row is late. Rows without an event time come first.
+    """
+    spark = txns.sparkSession
+    files = max(1, -(-txns.count() // ROWS_PER_STEP))
+    rows = with_category(txns).select(*TRANSACTION_COLUMNS)
+    rows.repartitionByRange(files, "event_timestamp", "user_id", "transaction_id").write.parquet(path)
+    root, fs = _file_system(spark, path)
+    for file in fs.listStatus(root):
+        name = file.getPath().getName()
+        if name.startswith("part-"):
+            fs.setTimes(file.getPath(), _FIRST_MILLIS + 1000 * int(name.split("-")[1]), -1)
+
+
 def hold_back(spark: SparkSession, path: str, held: str, steps: list[int]) -> None:
     """Move the folders of ``steps`` to ``held``, out of the stream's sight; :func:`release` brings them in."""
     _move(spark, path, held, steps)
