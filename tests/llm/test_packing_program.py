@@ -108,3 +108,29 @@ def test_ids_of_words_with_separators_specials_and_rare_characters():
     encoder = packing.SpacedEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert list(encoder.encode(texts)) == [encoder.ids(t) for t in texts]
     assert list(encoder.encode(["plain words", "plain again"])) == [encoder.ids(t) for t in ("plain words", "plain again")]
+
+
+def test_plain_texts_are_encoded_in_one_call_each():
+    import public_tokenizers
+
+    rng = random.Random(2)
+    encoder = packing.SpacedEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    signs = [*"abc   \n\t\r'sdt12.,-", "é", "\xa0", "\u2003", "\x85", "\x1c", "'ll", " the", "hello"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(1000)]
+    assert list(encoder.encode(texts)) == [encoder.ids(t) for t in texts]
+    assert not encoder.cache  # of rare words only
+    calls, ids = [], encoder.ids
+    encoder.ids = lambda text: calls.append(text) or ids(text)
+    list(encoder.encode(["plain text, all of it", *texts[:50]]))
+    assert not calls
+    encoder.ids = ids
+    odd = ["漢 " * 3 + "some plain words 漢字", "я\u2003 x y\x85 я"]
+    assert list(encoder.encode(odd)) == [encoder.ids(t) for t in odd] and " some" not in encoder.cache
+
+
+def test_long_runs_of_white_space():
+    import public_tokenizers
+
+    encoder = packing.SpacedEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["b" + s * 1_000_000 + "a" for s in (" ", "\n")] + ["a b" + "\n" * 1_000_000 + "c"]
+    assert list(encoder.encode(texts)) == [encoder.ids(t) for t in texts]

@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,6 @@ CAPACITY = 2048
 END_ID = 0
 BLOCK_CHARS = 4_000_000
 CACHE_WORDS = 500_000
-SEPARATOR = "\r"
 LENGTH_SHIFT = 40  # lengths above, rank within the length below
 GAP = 0.003  # the fractional program is solved to this share of its lower bound
 ROUNDS = 80  # of pricing at most, which bounds the driver's work; a plan tells the gap that it reached
@@ -51,8 +51,9 @@ NEAR = 0.01  # a length's best configuration becomes a column if its value is at
 class SpacedEncoder:
     """Whole-text ids of a byte-level BPE whose words carry their leading space.
 
-    A text is cut at its spaces; a cut part with its space is split and merged alike wherever it stands,
-    as long as no part begins or ends with other white space. Parts are encoded once and remembered.
+    Texts of common characters are split and merged in one call each. In the others, words with rare characters are
+    encoded by the library, once each and remembered, and the stretches between them in one call: a text
+    may be cut before a space that follows no white space, as no piece of the split goes on over it.
     """
 
     def __init__(self, path: str):
@@ -68,54 +69,37 @@ class SpacedEncoder:
         self.full.no_truncation()
         self.full.no_padding()
         self.special = list(special)
-        self.separator_id = self.fast.encode_ordinary(SEPARATOR)[0]
         self.rare = rare_characters()
-        self.mixed_space = re.compile(r"\s | \s")
+        self.cut = re.compile(r"(?<=\S)(?= )")
         self.cache: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        """Encode new words (each with its leading space) in one call, parted by a white-space token.
-
-        A space run before a word gives its last space to the word, so the separator stays a token of its
-        own; words that hold it, rare characters or special tokens are encoded one by one.
-        """
-        cache, rare = self.cache, self.rare
-        joined = SEPARATOR.join(words)
-        special = [s for s in self.special if s in joined]
-        parted = joined.count(SEPARATOR) >= len(words)  # a word holds it
-        together = []
-        for word in words:
-            if (
-                (not word.isascii() and rare.search(word))
-                or (parted and SEPARATOR in word)
-                or (special and any(s in word for s in special))
-            ):
-                cache[word] = self.ids(" " + word)
-            else:
-                together.append(word)
-        if not together:
-            return
-        text = " " + (SEPARATOR + " ").join(together) + SEPARATOR
-        ids = self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4")
-        cuts = (4 * np.flatnonzero(ids == self.separator_id)).tolist()
-        starts = [0, *(cut + 4 for cut in cuts)]
-        cache.update(zip(together, map(ids.tobytes().__getitem__, map(slice, starts, cuts)), strict=True))
+    def common(self, text: str) -> bytes:
+        try:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        except ValueError:  # runs of very many white spaces pass the bounds of its regular expressions
+            return self.ids(text)
+
+    def _rare_word(self, word: str) -> bytes:
+        ids = self.cache.get(word)
+        if ids is None:
+            ids = self.cache[word] = self.ids(word)
+        return ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        parts = []
-        for text in texts:
-            plain = not self.mixed_space.search(text) and not any(s in text for s in self.special)
-            parts.append(text.split(" ") if plain else None)
         if len(self.cache) > CACHE_WORDS:
             self.cache = {}
-        cache = self.cache
-        # "" stands for a space at the text's end: it and the last words ending in white space are like any other
-        self.learn(list(set().union(*(p[1:] for p in parts if p)).difference(cache)))
-        for text, p in zip(texts, parts, strict=True):
-            yield self.ids(text) if p is None else self.ids(p[0]) + b"".join(map(cache.__getitem__, p[1:]))
+        rare = self.rare
+        for text in texts:
+            if any(s in text for s in self.special):
+                yield self.ids(text)
+            elif text.isascii() or not rare.search(text):
+                yield self.common(text)
+            else:
+                words = groupby(self.cut.split(text), lambda word: not word.isascii() and bool(rare.search(word)))
+                yield b"".join(b"".join(map(self._rare_word, g)) if is_rare else self.common("".join(g)) for is_rare, g in words)
 
 
 #: One encoder per Python worker: its cache serves the worker's later tasks too.
