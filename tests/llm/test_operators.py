@@ -503,3 +503,27 @@ def test_near_duplicates_in_buckets_of_several_blocks(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "SIEVE_CLASSES", classes)
         got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(spark, _frame(spark, rows)).collect()}
         assert got == want
+
+
+def test_measured_nodes_are_brought_once_for_many_queries(spark):
+    rng = np.random.default_rng(3)
+    names = [b << neighbours.SHIFT | i for b in range(40) for i in range(5)]
+    x = {n: rng.standard_normal(8) for n in names}
+    nodes = spark.createDataFrame([(n, v.tobytes()) for n, v in x.items()], "node long, x binary")
+    queries, others = names[::10], names[1:5] + names[101:105]
+    pairs = spark.createDataFrame([(q, v) for q in queries for v in others], "q long, v long")
+    # two blocks get their four nodes and the twenty queries each, not twenty blocks the eight nodes
+    assert neighbours._wanted(neighbours._by_block(pairs, 1)).count() == 2 * (4 + len(queries))
+    want = {(q, v): float(((x[q] - x[v]) ** 2).sum()) for q in queries for v in others}
+    for slices in (1, 3):
+        assert {(r.q, r.v): r.d for r in neighbours._measured(nodes, pairs, slices).collect()} == pytest.approx(want)
+
+
+def test_blocks_of_the_graph_have_about_the_size_meant(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    monkeypatch.setattr(neighbours, "LEAF_SAMPLE", 8)
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    rng = np.random.default_rng(4)
+    frame = _vectors(spark, [(i, v.tolist(), "x", 1, "d") for i, v in enumerate(rng.standard_normal((64 * 9, 8)))])
+    nodes, _ = neighbours.build_graph(spark, neighbours.usable_vectors(frame))
+    assert nodes.select(neighbours._block("node")).distinct().count() == 8  # of 72 nodes, not 16 of 36

@@ -11,7 +11,7 @@ A query starts at its own node and moves along the graph: round by round, the no
 yet are, and the neighbours of theirs that it has never measured are measured, until a round changes no query's
 nearest nodes. All queries move in the same joins, and no distance is measured twice. For some queries a scan of all
 nodes tells the recall; while it is too low, the rest of the beam is expanded, then the beam is widened, and the search
-goes on from all that is measured. Distances are computed in double precision from the original vectors.
+goes on from all that is measured. The measured nodes' blocks get the queries' vectors, of which there are fewer. Distances are computed in double precision from the original vectors.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ SLABS = 8  # parts that a leaf that is still too large is cut into, at the quant
 LEVELS = 14  # of such cuts, more than any table needs
 LEAF_SAMPLE = 32  # fewest sampled nodes of a leaf
 BLOCK = 768  # nodes of a block, about
+QUERIES = 2048  # about the most queries whose distances to the nodes of one block are measured together
 SETTLED = 0.006  # the descent ends when the summed distances fall by less than this share
 ROUNDS = 12  # and after this many rounds at the latest
 SHIFT = 20  # a node's number is its block's, shifted, and its place there
@@ -253,7 +254,8 @@ def build_graph(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFr
     near = F.pmod(F.xxhash64("x"), F.lit(1 << 40)) <= (1 << 40) * min(1.0, SAMPLE / max(count, 1))
     sample = sorted(bytes(r["x"]) for r in classes.where(near).select("x").collect())
     sample = np.array([np.frombuffer(x) for x in sample], np.float32) if sample else np.zeros((0, 1), np.float32)
-    depth = max(0, math.ceil(math.log2(max(1, min(count / BLOCK, len(sample) / LEAF_SAMPLE)))))
+    # the depth whose leaves are nearest to BLOCK: the more blocks, the more of them want the same vectors
+    depth = round(math.log2(max(1, min(count / BLOCK, len(sample) / LEAF_SAMPLE))))
     schema = "node long, x binary, ids array<long>, near array<long>, d array<double>"
     first = _dealt(classes, PlaneTree(sample, depth, 1), 1).groupBy("block").applyInArrow(_numbered, schema)
     first = _stored(spark, first, "nodes")
@@ -291,13 +293,23 @@ def _distances(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
     return pa.table({"q": pairs.column("q"), "v": pairs.column("v"), "d": pa.array(d)})
 
 
-def _measured(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _by_block(pairs: DataFrame, slices: int) -> DataFrame:
+    """Pairs (q, v) with the block of v and a slice of the queries, which are measured together."""
+    return pairs.select(_block("v").alias("block"), F.pmod(F.xxhash64("q"), F.lit(slices)).alias("slice"), "q", "v")
+
+
+def _wanted(pairs: DataFrame) -> DataFrame:
+    """The nodes x whose vectors each block and slice needs: its own measured ones and the queries."""
+    return pairs.select("block", "slice", F.explode(F.array("q", "v")).alias("x")).distinct()
+
+
+def _measured(nodes: DataFrame, pairs: DataFrame, slices: int = 1) -> DataFrame:
     """Squared distances, in double precision, of pairs (q, v) of nodes."""
-    pairs = pairs.select(_block("q").alias("block"), "q", "v")
-    wanted = pairs.select("block", F.explode(F.array("q", "v")).alias("x")).distinct()
-    vectors = wanted.join(nodes.select(F.col("node").alias("x"), F.col("x").alias("vec")), "x")
-    vectors = vectors.select("block", "x", "vec").toDF("to", "id", "vec")
-    return pairs.groupBy("block").cogroup(vectors.groupBy("to")).applyInArrow(_distances, "q long, v long, d double")
+    pairs = _by_block(pairs, slices)
+    vectors = _wanted(pairs).join(nodes.select(F.col("node").alias("x"), F.col("x").alias("vec")), "x")
+    vectors = vectors.select("block", "slice", "x", "vec").toDF("to", "part", "id", "vec")
+    grouped = pairs.groupBy("block", "slice").cogroup(vectors.groupBy("to", "part"))
+    return grouped.applyInArrow(_distances, "q long, v long, d double")
 
 
 def _exact(nodes: DataFrame, wanted: list[tuple[int, bytes]]) -> DataFrame:
@@ -331,6 +343,7 @@ class Search:
         first = starts.select("q", F.col("q").alias("v"), F.lit(0.0).alias("d"))
         self.measured = [self._write(first)]
         self.beam = first.withColumn("expanded", F.lit(False))
+        self.slices = -(-max(1, self._all().count()) // QUERIES)
 
     def _write(self, rows: DataFrame) -> str:
         path = scratch_path(self.spark, "search")
@@ -351,7 +364,7 @@ class Search:
         while not _best(self.beam, "q", "v", watched).where("NOT expanded").isEmpty():
             step = self.beam.where("NOT expanded").select("q", F.col("v").alias("u")).join(self.edges, "u").select("q", "v").distinct()
             new = step.join(self._all().select("q", "v"), ["q", "v"], "left_anti")
-            self.measured.append(self._write(_measured(self.nodes, new)))
+            self.measured.append(self._write(_measured(self.nodes, new, self.slices)))
             new = self.spark.read.parquet(self.measured[-1]).withColumn("expanded", F.lit(False))
             old = self.beam.withColumn("expanded", F.lit(True))
             self.beam = _stored(self.spark, _best(old.unionByName(new), "q", "v", size), "beam")
