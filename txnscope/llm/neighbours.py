@@ -44,7 +44,7 @@ STARTS = 2  # times that a block is cut into groups
 QUERIES = 2048  # about the most queries whose distances to the nodes of one block are measured together
 WAVES = 2  # parts of the queries that search one after the other, in larger tables
 BUCKET = 128  # queries, about, whose beams are merged together
-WALKED = 192  # queries that walk through a block at once
+WALKED = 192  # queries that walk through a block at once, 256 at most
 FINAL = 2 * RESULTS + 12  # nodes of a beam that are measured in double precision
 SETTLED = 0.006  # the descent ends when the summed distances fall by less than this share
 ROUNDS = 12  # and after this many rounds at the latest
@@ -58,7 +58,7 @@ def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     spark.sparkContext._jvm.System.gc()  # shuffle files of earlier queries stay until the driver collects its garbage
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _discarded(spark: SparkSession, *tables: DataFrame) -> None:
@@ -409,6 +409,7 @@ def _linked(table: pa.Table, kind: type, seed: int, degree: int, rounds: int) ->
         both, v = np.concatenate([here, d], axis=1), np.concatenate([found, np.where(local, -1, v)], axis=1)
         by = np.argsort(both, axis=1, kind="stable")[:, :degree]
         near[part], dist[part] = np.take_along_axis(v, by, axis=1), np.take_along_axis(both, by, axis=1)
+    pa.default_memory_pool().release_unused()  # other tasks' workers share the executor's memory
     lists = {"node": pa.array(ids), "x": table.column("x"), "near": _rows_of_bytes(_planes(near))}
     return pa.table(lists | ({"d": _rows_of_bytes(_shorter(dist))} | {c: table.column(c) for c in ("ids", "asked")} if first else {}))
 
@@ -633,13 +634,16 @@ class Shelf:
             if not len(asked):
                 break
             seen[asked] = True
-            if table is None and 24 * len(asked) > len(seen):  # a product of all takes less time than so many rows
+            if table is None and 64 * len(asked) > len(seen):  # a product of all takes less time than so many rows
                 table = self.table(x)
             nq, nv, nd = self.near(x, asked, bound, table)
             asked = asked[:0]
             q, v, d = np.concatenate([q, nq]), np.concatenate([v, nv]), np.concatenate([d, nd])
             state = np.concatenate([state, np.full(len(nq), OPEN, np.int8)])
-            by = np.lexsort((v, d, q))
+            # by query and distance; at most 256 queries and 2 ** 24 nodes
+            by = (q.astype(np.uint64) << np.uint64(56)) | (d.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(24)) | np.arange(len(q), dtype=np.uint64)
+            by.sort()
+            by = (by & np.uint64((1 << 24) - 1)).astype(np.int64)
             rank = _ranks(q[by], len(x))
             last = by[rank == size - 1]
             bound[q[last]] = np.minimum(bound[q[last]], d[last])
@@ -707,10 +711,11 @@ def _visits(batches: Iterator[pa.RecordBatch], size: int, kind: type) -> Iterato
         for a, b in zip([-1, *shelves], [*shelves, batch.num_rows], strict=True):
             if a >= 0:
                 row, shelf = {n: column[n][a].as_py() for n in ("block", "x", "ends", "to", "far_ends", "far")}, None
-            for start in range(a + 1, b, WALKED):
-                if shelf is None:
-                    shelf = Shelf(*(row[n] for n in ("x", "ends", "to", "far_ends", "far")), kind)
-                count = min(b - start, WALKED)
+            if a + 1 < b and shelf is None:
+                shelf = Shelf(*(row[n] for n in ("x", "ends", "to", "far_ends", "far")), kind)
+            step = WALKED if a + 1 == b else max(1, min(WALKED, (1 << 24) // (shelf.n + size)))
+            for start in range(a + 1, b, step):
+                count = min(b - start, step)
                 letter = {n: column[n].slice(start, count) for n in ("q", "x", "bound", "room", "places", "sizes")}
                 sizes = _matrix(letter["sizes"], np.int32, np.int32)
                 state = np.repeat(np.tile(np.arange(4), count), sizes.ravel())
@@ -724,6 +729,7 @@ def _visits(batches: Iterator[pa.RecordBatch], size: int, kind: type) -> Iterato
                 found = [_split(q, c, count) for c in ((row["block"] << SHIFT) + v, d, state)] + [_split(fq[once], far[once], count)]
                 columns = [pa.array([f(c) for c in x], pa.binary()) for f, x in zip((_as_bytes, np.ndarray.tobytes, np.ndarray.tobytes, _as_bytes), found, strict=True)]
                 yield pa.RecordBatch.from_arrays([letter["q"], *columns], names=["q", "v", "d", "state", "far"])
+        pa.default_memory_pool().release_unused()  # other tasks' workers share the executor's memory
 
 
 def _split(q: np.ndarray, values: np.ndarray, count: int) -> list[np.ndarray]:
